@@ -21,8 +21,15 @@ class Span:
     days: int
 
 
+def _names(keys) -> list[str]:
+    return [f"_k_{k}" for k in keys]
+
+
 def _keyed(keys) -> list[Column]:
-    return [F.coalesce(F.col(k).cast("string"), F.lit(NO_KEY)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    return [
+        F.coalesce(F.col(k).cast("string"), F.lit(NO_KEY)).alias(n)
+        for k, n in zip(keys, _names(keys), strict=True)
+    ]
 
 
 def _slice(micros: int) -> Column:
@@ -105,42 +112,86 @@ def window_totals(
     )
 
 
-def range_agg(
-    rows: DataFrame,
-    events: DataFrame,
-    *,
-    keys,
-    row_time: str,
-    event_time: str,
-    spans,
-    value: str | None = None,
-    closed: str = "left",
-    unit: str = "micros",
-) -> DataFrame:
-    """``rows`` plus, per span, how many same-key events fell in the window before the row.
+@dataclass(frozen=True)
+class Events:
+    """What is counted: a table, its time, an optional summed value, and the clock's unit.
 
-    ``unit="seconds"`` floors both times to whole seconds first.
+    ``unit="seconds"`` floors both the events' and the rows' times to whole seconds.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
-
-    def clock(c):
-        if unit == "seconds":
-            return F.unix_seconds(c) * F.lit(1_000_000)
-        return F.unix_micros(c)
-
-    facts = events.where(F.col(event_time).isNotNull()).groupBy(
-        *_keyed(keys), clock(event_time).alias("_t")
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.sum(value) if value else F.lit(0.0)).cast("double").alias("s"),
+
+    df: DataFrame
+    time: str
+    value: str | None = None
+    unit: str = "micros"
+
+
+@dataclass(frozen=True)
+class Ask:
+    """One as-of question: which events, by which keys, over which spans."""
+
+    events: Events
+    keys: tuple
+    spans: tuple
+    closed: str = "left"
+
+
+def _floor(unit: str, micros: str = "_t") -> Column:
+    if unit == "seconds":
+        return F.floor(F.col(micros) / 1_000_000) * F.lit(1_000_000)
+    return F.col(micros)
+
+
+def _cube(events: Events, keys) -> DataFrame:
+    """Events counted once by every key any question uses; each question rolls this up."""
+    clock = _floor(events.unit, "_e").alias("_t")
+    return (
+        events.df.where(F.col(events.time).isNotNull())
+        .withColumn("_e", F.unix_micros(events.time))
+        .groupBy(*_keyed(keys), clock)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            (F.sum(events.value) if events.value else F.lit(0.0)).cast("double").alias("s"),
+        )
     )
+
+
+def range_agg_many(rows: DataFrame, row_time: str, asks) -> DataFrame:
+    """``rows`` plus, per question and span, how many same-key events came before the row.
+
+    All answers are looked up for the distinct (keys, time) combinations first and joined to
+    the rows once, so a wide row is shuffled at most once whatever the number of questions.
+    """
+    keys = list(dict.fromkeys(k for a in asks for k in a.keys))
+    names = _names(keys)
     asked = rows.withColumns(
-        {**dict(zip(names, _keyed(keys), strict=True)), "_t": clock(row_time)}
-    )
-    totals = window_totals(
-        asked.where(F.col("_t").isNotNull()), facts, names, spans, closed=closed
+        {**dict(zip(names, _keyed(keys), strict=True)), "_t": F.unix_micros(row_time)}
     )
-    return asked.join(totals, [*names, "_t"], "left").drop(*names, "_t")
+    points = asked.where(F.col("_t").isNotNull()).select(*names, "_t").distinct()
+    cubes = {}
+    for source in {id(a.events): a.events for a in asks}.values():
+        used = list(dict.fromkeys(k for a in asks if a.events is source for k in a.keys))
+        cubes[id(source)] = _cube(source, used)
+    answers = points
+    for a in asks:
+        own = _names(a.keys)
+        facts = cubes[id(a.events)].groupBy(*own, "_t").agg(
+            F.sum("n").alias("n"), F.sum("s").alias("s")
+        )
+        probes = points.select(*own, _floor(a.events.unit).alias("_t"))
+        totals = window_totals(probes, facts, own, a.spans, closed=a.closed).withColumnRenamed("_t", "_c")
+        answers = (
+            answers.withColumn("_c", _floor(a.events.unit)).join(totals, [*own, "_c"], "left").drop("_c")
+        )
+    return asked.join(answers, [*names, "_t"], "left").drop(*names, "_t")
+
+
+def range_agg(
+    rows: DataFrame, events: DataFrame, *, keys, row_time: str, event_time: str, spans,
+    value: str | None = None, closed: str = "left", unit: str = "micros",
+) -> DataFrame:
+    """:func:`range_agg_many` with one question."""
+    source = Events(events, event_time, value, unit)
+    return range_agg_many(rows, row_time, [Ask(source, tuple(keys), tuple(spans), closed)])
 
 
 def last_before(
@@ -152,7 +203,7 @@ def last_before(
     Of several events at one instant the largest ``value`` counts. The last value of each
     slice is carried forward in a small window over slices.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
+    names = _names(keys)
     facts = (
         events.where(F.col(event_time).isNotNull() & F.col(value).isNotNull())
         .groupBy(*_keyed(keys), F.unix_micros(event_time).alias("_t"))

@@ -15,7 +15,7 @@ def attach_groups(df: DataFrame, communities: DataFrame, dims=("sector", "srg"))
     Catalyst broadcasts the lookup while its measured size allows.
     """
     lookup = communities.groupBy("comm_code").agg(
-        F.min(F.struct(*[F.col(d).cast("string") for d in dims])).alias("_g")
+        F.min(F.struct(*[F.col(d).cast("string").alias(d) for d in dims])).alias("_g")
     )
     joined = df.drop(*dims).join(lookup, "comm_code", "left")
     return joined.withColumns(

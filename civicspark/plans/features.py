@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.functions import dates
-from civicspark.operators.asof import Span, range_agg
+from civicspark.operators.asof import Ask, Events, Span, range_agg_many
 from civicspark.operators.lookup import attach_sector
 from civicspark.plans.labels import assert_no_leakage
 from civicspark.schemas import FEATURE_SETS, HISTORY
@@ -41,31 +41,34 @@ def add_calendar_features(df: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
+def _backlog_asks(around: DataFrame) -> list[Ask]:
+    filed = Events(around.select(*BACKLOG_KEYS.values(), "requested_date"), "requested_date")
+    return [Ask(filed, (key,), (Span(f"_{name}", 30),)) for name, key in BACKLOG_KEYS.items()]
+
+
+def _backlog_columns() -> dict:
+    return {n: F.coalesce(f"_{n}_n", F.lit(0)).cast("int") for n in BACKLOG_KEYS}
+
+
+def _answer(df: DataFrame, asks, columns: dict) -> DataFrame:
+    spans = [s.name for a in asks for s in a.spans]
+    out = range_agg_many(df, "requested_date", asks).withColumns(columns)
+    return out.drop(*[f"{s}_{part}" for s in spans for part in ("n", "sum")])
+
+
 def add_backlog_features(df: DataFrame, context: DataFrame | None = None) -> DataFrame:
     """Same-category and same-community requests in the 30 days strictly before each row.
 
     Rows are counted in ``context`` (by default the frame itself).
     """
-    around = df if context is None else context
-    for name, key in BACKLOG_KEYS.items():
-        df = (
-            range_agg(
-                df, around.select(key, "requested_date"), keys=[key], row_time="requested_date",
-                event_time="requested_date", spans=[Span("_w", 30)],
-            )
-            .withColumn(name, F.coalesce("_w_n", F.lit(0)).cast("int"))
-            .drop("_w_n", "_w_sum")
-        )
-    return df
+    return _answer(df, _backlog_asks(df if context is None else context), _backlog_columns())
 
 
 def explore_backlog(df: DataFrame, key: str = "service_name", name: str = "cat_30d") -> DataFrame:
     """The exploratory variant: ``(t - 30 d, t]`` without the row itself."""
-    out = range_agg(
-        df, df.select(key, "requested_date"), keys=[key], row_time="requested_date",
-        event_time="requested_date", spans=[Span("_w", 30)], closed="right",
-    )
-    return out.withColumn(name, (F.coalesce("_w_n", F.lit(1)) - 1).cast("long")).drop("_w_n", "_w_sum")
+    filed = Events(df.select(key, "requested_date"), "requested_date")
+    asks = [Ask(filed, (key,), (Span("_w", 30),), "right")]
+    return _answer(df, asks, {name: (F.coalesce("_w_n", F.lit(1)) - 1).cast("long")})
 
 
 @dataclass(frozen=True)
@@ -99,32 +102,48 @@ def build_history(requests: DataFrame, thresholds: DataFrame, communities: DataF
     return History(outcomes, requests.select("service_name", F.col("requested_date").alias("t")))
 
 
-def add_late_rate(query: DataFrame, outcomes: DataFrame, name, keys, days, min_n) -> DataFrame:
+def _late_asks(history: History, rates) -> list[Ask]:
+    decided = Events(history.outcomes, "deadline", "late", "seconds")
+    return [Ask(decided, tuple(r.keys), (Span(f"_{r.name}", r.days),)) for r in rates]
+
+
+def _late_columns(rates) -> dict:
+    return {
+        r.name: F.when(F.col(f"_{r.name}_n") >= r.min_n, F.col(f"_{r.name}_sum") / F.col(f"_{r.name}_n"))
+        for r in rates
+    }
+
+
+def add_late_rates(query: DataFrame, history: History, rates=LATE_RATES) -> DataFrame:
     """Late share of same-key requests whose deadline fell in ``[t - days, t)``; null if few."""
-    out = range_agg(
-        query, outcomes, keys=list(keys), row_time="requested_date", event_time="deadline",
-        spans=[Span("_w", days)], value="late", unit="seconds",
-    )
-    rate = F.when(F.col("_w_n") >= min_n, F.col("_w_sum") / F.col("_w_n"))
-    return out.withColumn(name, rate).drop("_w_n", "_w_sum")
+    return _answer(query, _late_asks(history, rates), _late_columns(rates))
+
+
+def _ratio_asks(history: History) -> list[Ask]:
+    filed = Events(history.filed, "t", unit="seconds")
+    return [Ask(filed, ("service_name",), (Span("_month", 30), Span("_year", 365)))]
 
 
-def add_backlog_ratio(query: DataFrame, filed: DataFrame, min_year: int = 30) -> DataFrame:
+def _ratio_column(min_year: int = 30) -> dict:
+    typical = F.greatest(F.col("_year_n") * 30 / F.lit(365.0), F.lit(1e-9))
+    return {"cat_backlog_ratio": F.when(F.col("_year_n") >= min_year, F.col("_month_n") / typical)}
+
+
+def add_backlog_ratio(query: DataFrame, history: History, min_year: int = 30) -> DataFrame:
     """The category's last 30 days over its typical 30 days in the past year."""
-    out = range_agg(
-        query, filed, keys=["service_name"], row_time="requested_date", event_time="t",
-        spans=[Span("_m", 30), Span("_y", 365)], unit="seconds",
-    )
-    typical = F.greatest(F.col("_y_n") * 30 / F.lit(365.0), F.lit(1e-9))
-    ratio = F.when(F.col("_y_n") >= min_year, F.col("_m_n") / typical)
-    return out.withColumn("cat_backlog_ratio", ratio).drop("_m_n", "_m_sum", "_y_n", "_y_sum")
+    return _answer(query, _ratio_asks(history), _ratio_column(min_year))
 
 
-def add_history_features(frame: DataFrame, history: History, communities: DataFrame) -> DataFrame:
-    out = add_backlog_ratio(attach_sector(frame, communities), history.filed)
-    for r in LATE_RATES:
-        out = add_late_rate(out, history.outcomes, r.name, r.keys, r.days, r.min_n)
-    return out
+def add_history_features(
+    frame: DataFrame, history: History, communities: DataFrame, *, backlog: DataFrame | None = None
+) -> DataFrame:
+    """The six history features in one pass; with ``backlog`` the two 30-day counts as well."""
+    asks = _ratio_asks(history) + _late_asks(history, LATE_RATES)
+    columns = {**_ratio_column(), **_late_columns(LATE_RATES)}
+    if backlog is not None:
+        asks += _backlog_asks(backlog)
+        columns |= _backlog_columns()
+    return _answer(attach_sector(frame, communities), asks, columns)
 
 
 def build_features(
@@ -135,13 +154,15 @@ def build_features(
 
     With ``history`` and ``communities`` it is the challenger's set, else the baseline's.
     """
-    out = add_backlog_features(add_calendar_features(df, holidays), context)
-    columns = FEATURE_SETS["baseline"]
-    if history is not None:
-        if communities is None:
-            raise ValueError("history features need the community lookup")
-        out = add_history_features(out, history, communities)
+    around = df if context is None else context
+    if history is None:
+        out, columns = add_backlog_features(df, around), FEATURE_SETS["baseline"]
+    elif communities is None:
+        raise ValueError("history features need the community lookup")
+    else:
+        out = add_history_features(df, history, communities, backlog=around)
         columns = FEATURE_SETS["challenger"]
+    out = add_calendar_features(out, holidays)
     assert_no_leakage(columns)
     return out.select("service_request_id", *columns, *carry)
 
