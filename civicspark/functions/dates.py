@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,23 +42,32 @@ def day_text(ts) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
-def newest(df: DataFrame, ts: str = "requested_date", shift: str | None = None) -> int | None:
-    """Microseconds of the newest ``ts``, optionally moved by a calendar interval.
+@dataclass(frozen=True)
+class Bounds:
+    """Moments measured from the newest row, in microseconds."""
+
+    newest: int | None
+    taken: int | None  # midnight after the newest row: when the snapshot was taken
+    years: dict  # calendar years back -> moment
+
+
+def bounds(df: DataFrame, *years: int, ts: str = "requested_date") -> Bounds:
+    """One pass, one small row: the cut-offs built from it are literals, so they prune.
 
-    One scalar reaches the driver, so the cut-offs built from it are literals that prune
-    partitions and row groups.
+    Calendar arithmetic clips: a year before 29 February is the 28th.
     """
     top = F.max(ts)
-    moved = top + F.expr(f"INTERVAL {shift}") if shift else top
-    return df.agg(F.unix_micros(moved).alias("t")).first()["t"]
+    row = df.agg(
+        F.unix_micros(top).alias("newest"),
+        F.unix_micros(F.date_trunc("day", top) + F.expr("INTERVAL 1 DAY")).alias("taken"),
+        *[F.unix_micros(top - F.expr(f"INTERVAL {y} YEARS")).alias(f"y{y}") for y in years],
+    ).first()
+    return Bounds(row["newest"], row["taken"], {y: row[f"y{y}"] for y in years})
 
 
 def years_before_newest(df: DataFrame, years: int, ts: str = "requested_date") -> int | None:
-    """Calendar years back from the newest row; 29 February falls on the 28th."""
-    return newest(df, ts, f"-{years} YEARS")
+    return bounds(df, years, ts=ts).years[years]
 
 
 def snapshot_micros(df: DataFrame, ts: str = "requested_date") -> int | None:
-    """When the snapshot was taken: midnight after its newest row."""
-    top = F.date_trunc("day", F.max(ts)) + F.expr("INTERVAL 1 DAY")
-    return df.agg(F.unix_micros(top).alias("t")).first()["t"]
+    return bounds(df, ts=ts).taken

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.functions.dates import DAY_MICROS
+from civicspark.session import materialize
 
 NO_KEY = "__na__"  # a null key is a key of its own
 SLICE_MICROS = 600_000_000  # ten minutes
@@ -32,84 +34,9 @@ def _keyed(keys) -> list[Column]:
     ]
 
 
-def _slice(micros: int) -> Column:
+def _slice(micros: int, time: str = "_at") -> Column:
     # never null: see ordered._slice
-    return F.coalesce(F.floor(F.col("_t") / micros), F.lit(0).cast("long"))
-
-
-def window_totals(
-    probes: DataFrame, events: DataFrame, names, spans, *, closed: str = "left"
-) -> DataFrame:
-    """Per distinct (key, time) probe, the event count and sum in each look-back span.
-
-    ``probes`` has the key columns ``names`` and ``_t``; ``events`` has ``names``, ``_t``,
-    ``n`` and ``s``; times are microseconds. A window is a difference of two running totals,
-    so its cost does not depend on its length. ``closed="left"`` counts ``[t - d, t)``,
-    ``closed="right"`` counts ``(t - d, t]``.
-    """
-    marks = [F.struct(F.lit("now").alias("mark"), F.col("_t").alias("at"))]
-    marks += [
-        F.struct(F.lit(s.name).alias("mark"), (F.col("_t") - F.lit(s.days * DAY_MICROS)).alias("at"))
-        for s in spans
-    ]
-    asks = (
-        probes.select(*names, "_t")
-        .distinct()
-        .select(*names, F.col("_t").alias("_own"), F.explode(F.array(*marks)).alias("_m"))
-        .select(
-            *names,
-            F.col("_m.at").alias("_t"),
-            F.lit(0).cast("long").alias("n"),
-            F.lit(0.0).alias("s"),
-            "_own",
-            F.col("_m.mark").alias("_mark"),
-        )
-    )
-    facts = (
-        events.select(*names, "_t", "n", "s").withColumns(
-            {"_own": F.lit(None).cast("long"), "_mark": F.lit(None).cast("string")}
-        )
-    )
-    line = facts.unionByName(asks).withColumn("_cut", _slice(SLICE_MICROS))
-    reach = -1 if closed == "left" else 0
-    inside = (
-        Window.partitionBy(*names, "_cut")
-        .orderBy("_t")
-        .rangeBetween(Window.unboundedPreceding, reach)
-    )
-    earlier = Window.partitionBy(*names).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = line.groupBy(*names, "_cut").agg(F.sum("n").alias("_n"), F.sum("s").alias("_s"))
-    offsets = per_slice.select(
-        *names,
-        "_cut",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_off_s"),
-    )
-    ran = (
-        line.withColumns(
-            {
-                "_cn": F.coalesce(F.sum("n").over(inside), F.lit(0)),
-                "_cs": F.coalesce(F.sum("s").over(inside), F.lit(0.0)),
-            }
-        )
-        .where(F.col("_mark").isNotNull())
-        .join(offsets, [*names, "_cut"])
-        .select(
-            *names,
-            F.col("_own").alias("_t"),
-            "_mark",
-            (F.col("_cn") + F.col("_off_n")).alias("_cn"),
-            (F.col("_cs") + F.col("_off_s")).alias("_cs"),
-        )
-    )
-
-    def total(column, mark):
-        return F.sum(F.when(F.col("_mark") == mark, F.col(column)))
-
-    return ran.groupBy(*names, "_t").agg(
-        *[(total("_cn", "now") - total("_cn", s.name)).alias(f"{s.name}_n") for s in spans],
-        *[(total("_cs", "now") - total("_cs", s.name)).alias(f"{s.name}_sum") for s in spans],
-    )
+    return F.coalesce(F.floor(F.col(time) / micros), F.lit(0).cast("long"))
 
 
 @dataclass(frozen=True)
@@ -132,55 +59,123 @@ class Ask:
     events: Events
     keys: tuple
     spans: tuple
-    closed: str = "left"
 
 
-def _floor(unit: str, micros: str = "_t") -> Column:
-    if unit == "seconds":
-        return F.floor(F.col(micros) / 1_000_000) * F.lit(1_000_000)
-    return F.col(micros)
+def _clock(unit: str, micros: str) -> str:
+    return f"floor({micros} / 1000000) * 1000000" if unit == "seconds" else micros
 
 
-def _cube(events: Events, keys) -> DataFrame:
-    """Events counted once by every key any question uses; each question rolls this up."""
-    clock = _floor(events.unit, "_e").alias("_t")
-    return (
-        events.df.where(F.col(events.time).isNotNull())
-        .withColumn("_e", F.unix_micros(events.time))
-        .groupBy(*_keyed(keys), clock)
+def _joined(keys) -> str:
+    return f"concat_ws('\\u001f', {', '.join(_names(keys))})"
+
+
+def _facts(source: Events, asks) -> DataFrame:
+    """Events counted once by every key in use, then spread over the questions about them."""
+    used = list(dict.fromkeys(k for _, a in asks for k in a.keys))
+    cube = (
+        source.df.where(F.col(source.time).isNotNull())
+        .withColumn("_e", F.unix_micros(source.time))
+        .groupBy(*_keyed(used), F.expr(_clock(source.unit, "_e")).alias("_at"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            (F.sum(events.value) if events.value else F.lit(0.0)).cast("double").alias("s"),
+            (F.sum(source.value) if source.value else F.lit(0.0)).cast("double").alias("s"),
+        )
+    )
+    spread = ", ".join(f"struct({q} AS _q, {_joined(a.keys)} AS _k)" for q, a in asks)
+    return (
+        cube.selectExpr(f"inline(array({spread}))", "_at", "n", "s")
+        .groupBy("_q", "_k", "_at")
+        .agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    )
+
+
+def _probes(points: DataFrame, asks) -> DataFrame:
+    """Per question and distinct (key, time): the moment itself and the start of each span."""
+    marks = []
+    for q, a in enumerate(asks):
+        now = _clock(a.events.unit, "_t")
+        ends = [("now", now)] + [(s.name, f"{now} - {s.days * DAY_MICROS}") for s in a.spans]
+        marks += [
+            f"struct({q} AS _q, {_joined(a.keys)} AS _k, {now} AS _own, '{m}' AS _mark, {at} AS _at)"
+            for m, at in ends
+        ]
+    return points.selectExpr(f"inline(array({', '.join(marks)}))").distinct()
+
+
+def _totals(facts: DataFrame, probes: DataFrame, spans, closed: str) -> DataFrame:
+    """Per probe, the count and sum in each span: the difference of two running totals."""
+    line = facts.selectExpr(
+        "_q", "_k", "_at", "n", "s", "CAST(NULL AS bigint) AS _own", "CAST(NULL AS string) AS _mark"
+    ).unionByName(
+        probes.selectExpr("_q", "_k", "_at", "0L AS n", "0D AS s", "_own", "_mark")
+    ).withColumn("_cut", _slice(SLICE_MICROS))
+    here = ["_q", "_k", "_cut"]
+    inside = (
+        Window.partitionBy(*here)
+        .orderBy("_at")
+        .rangeBetween(Window.unboundedPreceding, -1 if closed == "left" else 0)
+    )
+    earlier = Window.partitionBy("_q", "_k").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        line.groupBy(*here)
+        .agg(F.sum("n").alias("_n"), F.sum("s").alias("_s"))
+        .select(*here, F.sum("_n").over(earlier).alias("_off_n"), F.sum("_s").over(earlier).alias("_off_s"))
+    )
+    ran = (
+        line.select("*", F.sum("n").over(inside).alias("_in_n"), F.sum("s").over(inside).alias("_in_s"))
+        .where("_mark IS NOT NULL")
+        .join(offsets, here)
+        .selectExpr(
+            "_q", "_k", "_own", "_mark",
+            "coalesce(_in_n, 0L) + coalesce(_off_n, 0L) AS _n",
+            "coalesce(_in_s, 0D) + coalesce(_off_s, 0D) AS _s",
         )
     )
+    return ran.groupBy("_q", "_k", "_own").agg(
+        *[
+            F.expr(
+                f"sum({c}) FILTER (WHERE _mark = 'now') - sum({c}) FILTER (WHERE _mark = '{s.name}')"
+            ).alias(f"{s.name}{c.replace('_s', '_sum')}")
+            for s in spans
+            for c in ("_n", "_s")
+        ]
+    )
 
 
-def range_agg_many(rows: DataFrame, row_time: str, asks) -> DataFrame:
+def range_agg_many(rows: DataFrame, row_time: str, asks, closed: str = "left") -> DataFrame:
     """``rows`` plus, per question and span, how many same-key events came before the row.
 
-    All answers are looked up for the distinct (keys, time) combinations first and joined to
-    the rows once, so a wide row is shuffled at most once whatever the number of questions.
+    ``closed="left"`` counts ``[t - d, t)``, ``closed="right"`` counts ``(t - d, t]``. Every
+    question runs through one pass over (question, key, slice), so the cost grows with
+    neither the window length nor the number of plans. Answers are looked up for the distinct
+    (keys, time) combinations and joined to the rows once: a wide row is shuffled at most
+    once whatever the number of questions. Several questions are written before they are
+    joined, so each join sees a true size.
     """
     keys = list(dict.fromkeys(k for a in asks for k in a.keys))
     names = _names(keys)
     asked = rows.withColumns(
         {**dict(zip(names, _keyed(keys), strict=True)), "_t": F.unix_micros(row_time)}
     )
-    points = asked.where(F.col("_t").isNotNull()).select(*names, "_t").distinct()
-    cubes = {}
-    for source in {id(a.events): a.events for a in asks}.values():
-        used = list(dict.fromkeys(k for a in asks if a.events is source for k in a.keys))
-        cubes[id(source)] = _cube(source, used)
+    points = asked.where("_t IS NOT NULL").select(*names, "_t").distinct()
+    numbered = list(enumerate(asks))
+    sources = {id(a.events): a.events for a in asks}
+    facts = reduce(
+        DataFrame.unionByName,
+        [_facts(e, [(q, a) for q, a in numbered if a.events is e]) for e in sources.values()],
+    )
+    spans = [s for a in asks for s in a.spans]
+    totals = _totals(facts, _probes(points, asks), spans, closed)
+    if len(asks) > 1:
+        totals = materialize(totals, "window-totals", by=["_q"])
     answers = points
-    for a in asks:
-        own = _names(a.keys)
-        facts = cubes[id(a.events)].groupBy(*own, "_t").agg(
-            F.sum("n").alias("n"), F.sum("s").alias("s")
-        )
-        probes = points.select(*own, _floor(a.events.unit).alias("_t"))
-        totals = window_totals(probes, facts, own, a.spans, closed=a.closed).withColumnRenamed("_t", "_c")
+    for q, a in numbered:
+        columns = [f"{s.name}_{c}" for s in a.spans for c in ("n", "sum")]
+        own = totals.where(F.col("_q") == q).select(F.col("_k"), F.col("_own"), *columns)
         answers = (
-            answers.withColumn("_c", _floor(a.events.unit)).join(totals, [*own, "_c"], "left").drop("_c")
+            answers.selectExpr("*", f"{_joined(a.keys)} AS _k", f"{_clock(a.events.unit, '_t')} AS _own")
+            .join(own, ["_k", "_own"], "left")
+            .drop("_k", "_own")
         )
     return asked.join(answers, [*names, "_t"], "left").drop(*names, "_t")
 
@@ -191,7 +186,7 @@ def range_agg(
 ) -> DataFrame:
     """:func:`range_agg_many` with one question."""
     source = Events(events, event_time, value, unit)
-    return range_agg_many(rows, row_time, [Ask(source, tuple(keys), tuple(spans), closed)])
+    return range_agg_many(rows, row_time, [Ask(source, tuple(keys), tuple(spans))], closed)
 
 
 def last_before(
@@ -218,7 +213,7 @@ def last_before(
             asked.select(*names, "_t").distinct().withColumn("_ask", F.lit(1)),
             allowMissingColumns=True,
         )
-        .withColumn("_cut", _slice(slice_micros))
+        .withColumn("_cut", _slice(slice_micros, "_t"))
     )
     inside = (
         Window.partitionBy(*names, "_cut").orderBy("_t", "_ask")

@@ -36,9 +36,9 @@ def global_threshold(thresholds: DataFrame) -> float | None:
     return row["g"] if row["g"] is not None else row["m"]
 
 
-def with_threshold(df: DataFrame, thresholds: DataFrame) -> DataFrame:
+def with_threshold(df: DataFrame, thresholds: DataFrame, fallback: float | None = None) -> DataFrame:
     """Add ``threshold_days``: the category's own, or the global one if it is unseen."""
-    fallback = global_threshold(thresholds)
+    fallback = global_threshold(thresholds) if fallback is None else fallback
     own = thresholds.select("service_name", F.col("threshold_days").alias("_own"))
     return (
         df.drop("threshold_days")

@@ -50,9 +50,9 @@ def _backlog_columns() -> dict:
     return {n: F.coalesce(f"_{n}_n", F.lit(0)).cast("int") for n in BACKLOG_KEYS}
 
 
-def _answer(df: DataFrame, asks, columns: dict) -> DataFrame:
+def _answer(df: DataFrame, asks, columns: dict, closed: str = "left") -> DataFrame:
     spans = [s.name for a in asks for s in a.spans]
-    out = range_agg_many(df, "requested_date", asks).withColumns(columns)
+    out = range_agg_many(df, "requested_date", asks, closed).withColumns(columns)
     return out.drop(*[f"{s}_{part}" for s in spans for part in ("n", "sum")])
 
 
@@ -67,8 +67,8 @@ def add_backlog_features(df: DataFrame, context: DataFrame | None = None) -> Dat
 def explore_backlog(df: DataFrame, key: str = "service_name", name: str = "cat_30d") -> DataFrame:
     """The exploratory variant: ``(t - 30 d, t]`` without the row itself."""
     filed = Events(df.select(key, "requested_date"), "requested_date")
-    asks = [Ask(filed, (key,), (Span("_w", 30),), "right")]
-    return _answer(df, asks, {name: (F.coalesce("_w_n", F.lit(1)) - 1).cast("long")})
+    asks = [Ask(filed, (key,), (Span("_w", 30),))]
+    return _answer(df, asks, {name: (F.coalesce("_w_n", F.lit(1)) - 1).cast("long")}, "right")
 
 
 @dataclass(frozen=True)

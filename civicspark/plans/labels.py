@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.functions import dates
-from civicspark.operators.lookup import with_threshold
+from civicspark.operators.lookup import global_threshold, with_threshold
 from civicspark.operators.ordered import DAYS_WIDTH, distribution, quantiles
 from civicspark.plans.purge import mark_purged
 from civicspark.schemas import LEAKY_COLUMNS
@@ -24,10 +24,15 @@ def add_days_to_close(df: DataFrame) -> DataFrame:
     return df.withColumn("days_to_close", dates.days_between("requested_date", "closed_date"))
 
 
-def labelled_subset(df: DataFrame, settings: LabelSettings | None = None) -> DataFrame:
-    """Closed rows with a non-negative duration, filed in the last ``window_years``."""
+def labelled_subset(
+    df: DataFrame, settings: LabelSettings | None = None, start: int | None = None
+) -> DataFrame:
+    """Closed rows with a non-negative duration, filed in the last ``window_years``.
+
+    ``start`` is that cut-off if it is already known.
+    """
     s = settings or LabelSettings()
-    start = dates.years_before_newest(df, s.window_years)
+    start = dates.years_before_newest(df, s.window_years) if start is None else start
     if start is None:
         return add_days_to_close(df).limit(0)
     return add_days_to_close(df.where(F.col("requested_date") >= dates.at(start))).where(
@@ -83,19 +88,20 @@ def category_thresholds(
     )
 
 
-def apply_labels(df: DataFrame, thresholds: DataFrame) -> DataFrame:
+def apply_labels(df: DataFrame, thresholds: DataFrame, fallback: float | None = None) -> DataFrame:
     """``breach`` = strictly slower than the threshold."""
     out = df if "days_to_close" in df.columns else add_days_to_close(df)
     late = F.coalesce(F.col("days_to_close") > F.col("threshold_days"), F.lit(False))
-    return with_threshold(out, thresholds).withColumn("breach", late.cast("int"))
+    return with_threshold(out, thresholds, fallback).withColumn("breach", late.cast("int"))
 
 
 def overdue_open(
-    df: DataFrame, thresholds: DataFrame, asof: int, settings: LabelSettings | None = None
+    df: DataFrame, thresholds: DataFrame, asof: int, settings: LabelSettings | None = None,
+    start: int | None = None, fallback: float | None = None,
 ) -> DataFrame:
     """Open requests already older than their threshold: certain breaches."""
     s = settings or LabelSettings()
-    start = dates.years_before_newest(df, s.window_years)
+    start = dates.years_before_newest(df, s.window_years) if start is None else start
     if start is None:
         return apply_labels(df.limit(0), thresholds).withColumn("censored", F.lit(True))
     still_open = df.where(
@@ -103,7 +109,7 @@ def overdue_open(
     )
     # the same deadline as in scoring, so overdue and scored rows split the open ones exactly
     return (
-        with_threshold(still_open, thresholds)
+        with_threshold(still_open, thresholds, fallback)
         .where(dates.plus_days("requested_date", "threshold_days") < dates.at(asof))
         .withColumns(
             {
@@ -143,10 +149,11 @@ def build_training_labels(
     recomputing the quantiles.
     """
     s = settings or LabelSettings()
+    known = dates.bounds(df, s.holdout_years, s.window_years)
+    boundary, start = known.years[s.holdout_years], known.years[s.window_years]
+    asof = known.taken if asof is None else asof
     marked = mark_purged(df, gate)
-    boundary = holdout_boundary(df, s)
-    asof = dates.snapshot_micros(df) if asof is None else asof
-    frame = labelled_subset(marked, s)
+    frame = labelled_subset(marked, s, start)
     if s.purge_handling == "exclude":
         frame = frame.where(~F.col("purge_closed"))
     train = frame.where(F.col("requested_date") < dates.at(boundary))
@@ -154,9 +161,11 @@ def build_training_labels(
         category_thresholds(train, s.percentile, ignore_purged=s.purge_handling == "flag"),
         "thresholds",
     )
-    rows = apply_labels(frame, thresholds).withColumn("censored", F.lit(False))
+    fallback = global_threshold(thresholds)
+    rows = apply_labels(frame, thresholds, fallback).withColumn("censored", F.lit(False))
     if include_overdue_open:
-        rows = rows.unionByName(overdue_open(marked, thresholds, asof, s), allowMissingColumns=True)
+        late = overdue_open(marked, thresholds, asof, s, start, fallback)
+        rows = rows.unionByName(late, allowMissingColumns=True)
     return Labels(add_split(rows, boundary), thresholds, boundary, asof)
 
 

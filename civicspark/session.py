@@ -50,13 +50,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/civicspark/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", by=()) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     It cuts the lineage, survives lost executors, and gives Catalyst a true file size: a
     join against the result is broadcast only while it stays under
-    ``spark.sql.autoBroadcastJoinThreshold`` and is shuffled beyond it.
+    ``spark.sql.autoBroadcastJoinThreshold`` and is shuffled beyond it. ``by`` lays it out in
+    folders a filter can skip.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1456,7 +1456,8 @@ def check_null_rates(spark, d):
         """SELECT false AS passed, round((sum(CAST(k % 97 = 0 AS INT)) + sum(CAST(k % 89 = 0 AS INT))) / count(*)::DOUBLE, 6) AS unparseable_rate,
         round(sum(CASE WHEN k % 97 <> 0 AND k % 89 <> 0 AND closed_date < requested_date + CASE WHEN k % 4 = 2
           THEN INTERVAL 123 MILLISECOND ELSE INTERVAL 0 DAY END THEN 1 ELSE 0 END) / count(*)::DOUBLE, 6) AS negative_duration_rate,
-        sum(CASE WHEN k % 97 <> 0 AND requested_date > TIMESTAMP '2001-01-02' THEN 1 ELSE 0 END)::BIGINT AS future_rows
+        sum(CASE WHEN k % 97 <> 0 AND requested_date + CASE WHEN k % 4 = 2 THEN INTERVAL 123 MILLISECOND
+          ELSE INTERVAL 0 DAY END > TIMESTAMP '2001-01-02' THEN 1 ELSE 0 END)::BIGINT AS future_rows
         FROM (SELECT *, CAST(service_request_id AS BIGINT) AS k FROM requests)""",
         "requests",
     ),
