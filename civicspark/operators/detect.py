@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.operators.ordered import distribution, order_statistics
+from civicspark.session import materialize
 from civicspark.settings import ControlSettings
 
 
@@ -25,17 +26,14 @@ def ratio_flags(
     """
     judged = F.col(value).isNotNull() if only is None else only & F.col(value).isNotNull()
     dist = distribution(df.where(judged & F.col(kind).isNotNull()), [kind], value)
-    half = F.floor(F.col("rows") / 2)
-    mid = order_statistics(
-        dist,
-        [kind],
-        {
-            "_below": F.greatest(half - 1, F.lit(0)),
-            "_mid": half,
-            "_above": F.least(half + 1, F.col("rows") - 1),
-        },
-        width=width,
-    ).withColumnRenamed("rows", "_rows")
+    middle = {
+        "_below": "greatest(rows div 2 - 1, 0)",
+        "_mid": "rows div 2",
+        "_above": "least(rows div 2 + 1, rows - 1)",
+    }
+    mid = materialize(
+        order_statistics(dist, [kind], middle, width=width).withColumnRenamed("rows", "_rows"), "middles"
+    )
     v, lo, at, hi = F.col(value), F.col("_below"), F.col("_mid"), F.col("_above")
     odd = (
         F.when(v < at, (at + hi) / 2).when(v > at, (lo + at) / 2).otherwise((lo + hi) / 2)

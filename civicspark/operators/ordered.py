@@ -33,18 +33,11 @@ def distribution(df: DataFrame, keys, value, name: str = "value", extra=()) -> D
 def _slice(order: str, width: float) -> Column:
     # never null, so no branch of the plan gains a filter the other lacks and the exchange
     # below both of them is reused
-    return F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(0).cast("long"))
+    return F.expr(f"coalesce(floor(`{order}` / {width!r}D), 0L)")
 
 
-def _offsets(df: DataFrame, keys, cut: str, sums) -> DataFrame:
-    """Totals of every earlier slice, per (keys, slice)."""
-    before = Window.partitionBy(*keys).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*keys, cut).agg(*[F.sum(s).alias(s) for s in sums])
-    return totals.select(
-        *keys,
-        cut,
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
-    )
+def _quoted(names) -> list[str]:
+    return [f"`{n}`" for n in names]
 
 
 def running_before(
@@ -52,57 +45,42 @@ def running_before(
 ) -> DataFrame:
     """Add, for each of ``sums``, its total over rows of the same keys with a smaller ``order``.
 
-    ``df`` has one row per (keys, order).
+    ``df`` has one row per (keys, order), with no null among the keys.
     """
     cut = df.withColumn("_cut", _slice(order, width))
-    inside = (
-        Window.partitionBy(*keys, "_cut")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    here = [*keys, "_cut"]
+    first = Window.unboundedPreceding
+    inside = Window.partitionBy(*here).orderBy(order).rowsBetween(first, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(first, -1)
+    offsets = cut.groupBy(*here).agg(*[F.sum(s).alias(s) for s in sums]).select(
+        *here, *[F.sum(s).over(earlier).alias(f"_off_{s}") for s in sums]
     )
-    ran = cut.withColumns(
-        {f"_in_{s}": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums}
+    ran = cut.select("*", *[F.sum(s).over(inside).alias(f"_in_{s}") for s in sums])
+    return ran.join(offsets, here).selectExpr(
+        *_quoted(df.columns), *[f"coalesce(_in_{s}, 0) + coalesce(_off_{s}, 0) AS {prefix}{s}" for s in sums]
     )
-    joined = ran.join(_offsets(cut, keys, "_cut", sums), [*keys, "_cut"])
-    return joined.withColumns(
-        {f"{prefix}{s}": F.col(f"_in_{s}") + F.col(f"_off_{s}") for s in sums}
-    ).drop("_cut", *[f"_in_{s}" for s in sums], *[f"_off_{s}" for s in sums])
 
 
 def order_statistics(dist: DataFrame, keys, ranks: dict, *, width: float) -> DataFrame:
     """The values at given 0-based ranks of each key, plus the key's ``rows``.
 
-    ``dist`` comes from :func:`distribution`; ``ranks`` maps an output column to an
+    ``dist`` comes from :func:`distribution`; ``ranks`` maps an output column to an SQL
     expression over ``rows``. Slice counts locate the slice that holds each rank, and only
     the values of those slices are ordered.
     """
     cut = dist.withColumn("_cut", _slice("value", width))
-    per_slice = cut.groupBy(*keys, "_cut").agg(F.sum("n").alias("_m"))
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("what"), r.cast("long").alias("at")) for k, r in ranks.items()])
-    )
+    wanted = ", ".join(f"struct('{k}' AS _what, CAST({r} AS bigint) AS _at)" for k, r in ranks.items())
     found = (
-        per_slice.withColumns(
-            {
-                "rows": F.sum("_m").over(group),
-                "_before": F.coalesce(F.sum("_m").over(earlier), F.lit(0)),
-            }
-        )
-        .select(*keys, "_cut", "_m", "rows", "_before", wanted.alias("_w"))
-        .where((F.col("_w.at") >= F.col("_before")) & (F.col("_w.at") < F.col("_before") + F.col("_m")))
-        .select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col("_cut").alias("_k__cut"),
-            "rows",
-            F.col("_w.what").alias("_what"),
-            (F.col("_w.at") - F.col("_before")).alias("_at"),
-        )
+        cut.groupBy(*keys, "_cut")
+        .agg(F.sum("n").alias("_m"))
+        .select("*", F.sum("_m").over(group).alias("rows"), F.sum("_m").over(earlier).alias("_b"))
+        .selectExpr(*_quoted(keys), "_cut", "_m", "rows", "coalesce(_b, 0) AS _b", f"inline(array({wanted}))")
+        .where("_at >= _b AND _at < _b + _m")
+        .selectExpr(*[f"`{k}` AS `_k_{k}`" for k in keys], "_cut AS _k__cut", "rows", "_what", "_at - _b AS _at")
     )
-    same = F.col("_cut") == F.col("_k__cut")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    same = F.expr(" AND ".join(["_cut = _k__cut", *[f"`{k}` <=> `_k_{k}`" for k in keys]]))
     upto = (
         Window.partitionBy(*keys, "_what")
         .orderBy("value")
@@ -110,29 +88,23 @@ def order_statistics(dist: DataFrame, keys, ranks: dict, *, width: float) -> Dat
     )
     hit = (
         cut.join(found, same)
-        .withColumn("_upto", F.sum("n").over(upto))
-        .where((F.col("_at") < F.col("_upto")) & (F.col("_at") >= F.col("_upto") - F.col("n")))
+        .select(*keys, "value", "n", "rows", "_what", "_at", F.sum("n").over(upto).alias("_upto"))
+        .where("_at < _upto AND _at >= _upto - n")
     )
     return hit.groupBy(*keys).agg(
         F.max("rows").alias("rows"),
-        *[F.max(F.when(F.col("_what") == k, F.col("value"))).alias(k) for k in ranks],
+        *[F.expr(f"max(value) FILTER (WHERE _what = '{k}')").alias(k) for k in ranks],
     )
 
 
 def quantiles(dist: DataFrame, keys, points: dict, *, width: float) -> DataFrame:
     """Exact linearly interpolated quantiles: ``points`` maps an output column to a fraction."""
-    ranks = {}
-    for name, q in points.items():
-        place = (F.col("rows") - 1) * F.lit(float(q))
-        ranks[f"_lo_{name}"] = F.floor(place)
-        ranks[f"_hi_{name}"] = F.ceil(place)
-    stats = order_statistics(dist, keys, ranks, width=width)
-    out = []
+    ranks, out = {}, []
     for name, q in points.items():
-        place = (F.col("rows") - 1) * F.lit(float(q))
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
-    return stats.select(*keys, "rows", *out)
+        place, lo, hi = f"(rows - 1) * {float(q)!r}D", f"_lo_{name}", f"_hi_{name}"
+        ranks |= {lo: f"floor({place})", hi: f"ceil({place})"}
+        out.append(f"{lo} + ({hi} - {lo}) * ({place} - floor({place})) AS {name}")
+    return order_statistics(dist, keys, ranks, width=width).selectExpr(*_quoted(keys), "rows", *out)
 
 
 def rank_rows(
@@ -184,7 +156,7 @@ def sample_exactly(df: DataFrame, n: int, row_id: str, seed: int, name: str = "_
     keyed = df.withColumn(name, F.conv(F.substring(digest, 1, 13), 16, 10).cast("long"))
     dist = distribution(keyed, [], name)
     cut = order_statistics(
-        dist, [], {"cut": F.least(F.lit(n), F.col("rows")) - 1}, width=float(1 << 26)
+        dist, [], {"cut": f"least({n}, rows) - 1"}, width=float(1 << 26)
     ).first()
     if cut is None or cut["cut"] is None:
         return df.limit(0)

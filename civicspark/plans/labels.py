@@ -142,6 +142,7 @@ class Labels:
 def build_training_labels(
     df: DataFrame, settings: LabelSettings | None = None, *, include_overdue_open: bool = True,
     asof: int | None = None, gate: GateSettings | None = None,
+    purges=None,
 ) -> Labels:
     """Purges marked on the full pull, thresholds from training rows only, both parts labelled.
 
@@ -152,7 +153,7 @@ def build_training_labels(
     known = dates.bounds(df, s.holdout_years, s.window_years)
     boundary, start = known.years[s.holdout_years], known.years[s.window_years]
     asof = known.taken if asof is None else asof
-    marked = mark_purged(df, gate)
+    marked = mark_purged(df, gate, purges)
     frame = labelled_subset(marked, s, start)
     if s.purge_handling == "exclude":
         frame = frame.where(~F.col("purge_closed"))

@@ -15,7 +15,7 @@ def filter_min_n(metric: DataFrame, min_n: int) -> DataFrame:
 def quantile_breaks(df: DataFrame, value: str, k: int = 5, width: float = DAYS_WIDTH) -> DataFrame:
     """One row with the ``k - 1`` interior nearest-rank cut points ``b1 .. b(k-1)``."""
     ranks = {
-        f"b{i}": F.ceil(F.col("rows") * F.lit(i) / F.lit(k)) - 1 for i in range(1, k)
+        f"b{i}": f"(rows * {i} + {k} - 1) div {k} - 1" for i in range(1, k)
     }
     found = order_statistics(distribution(df, [], value), [], ranks, width=width)
     short = F.raise_error(F.lit(f"need at least {k} values"))

@@ -57,9 +57,9 @@ def purge_lookups(df: DataFrame, settings: GateSettings | None = None):
     return limits, materialize(events, "purge-days")
 
 
-def mark_purged(df: DataFrame, settings: GateSettings | None = None) -> DataFrame:
-    """Add ``purge_closed``."""
-    limits, events = purge_lookups(df, settings)
+def mark_purged(df: DataFrame, settings: GateSettings | None = None, lookups=None) -> DataFrame:
+    """Add ``purge_closed``; ``lookups`` are :func:`purge_lookups` if already at hand."""
+    limits, events = lookups or purge_lookups(df, settings)
     hit = (F.col("_age") >= F.col("_limit")) & F.col("_tickets").isNotNull()
     return (
         _aged(df)

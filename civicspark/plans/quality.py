@@ -206,9 +206,8 @@ def closed_groups(df: DataFrame, settings=None) -> DataFrame:
     s = settings or GateSettings()
     closed = _closed(df)
     sizes = closed.groupBy("service_name", "comm_name").agg(F.count(F.lit(1)).alias("group_rows"))
-    return closed.join(
-        sizes.where(F.col("group_rows") >= s.group_min_rows), ["service_name", "comm_name"]
-    )
+    large = materialize(sizes.where(F.col("group_rows") >= s.group_min_rows), "group-sizes")
+    return closed.join(large, ["service_name", "comm_name"])
 
 
 def bulk_closes(df: DataFrame, settings=None) -> DataFrame:
@@ -280,7 +279,11 @@ def _listed(found: DataFrame, name: str, line, weight, clean: str, top: int = 5)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col(weight)).alias("w"), line.alias("t")))).alias("l"))
         .select(F.concat_ws("; ", F.transform("l", lambda x: x["t"])).alias("largest"))
     )
-    one = count.join(F.broadcast(heavy))
+    one = (
+        count.withColumn("largest", F.lit(None).cast("string"))
+        .unionByName(heavy, allowMissingColumns=True)
+        .agg(*[F.max(c).alias(c) for c in ("found", "tickets", "largest")])
+    )
     text = F.when(F.col("found") == 0, clean).otherwise(
         F.concat(F.format_string("%,d found. Largest: ", F.col("found")), F.col("largest"))
     )

@@ -18,7 +18,7 @@ from civicspark.operators.detect import ewma_flags, seasonal_residuals, sustaine
 from civicspark.operators.lookup import attach_sector, with_threshold
 from civicspark.operators.ordered import DAYS_WIDTH, distribution, order_statistics
 from civicspark.plans.labels import build_training_labels
-from civicspark.plans.purge import mark_purged
+from civicspark.plans.purge import mark_purged, purge_lookups
 from civicspark.session import materialize
 from civicspark.settings import (
     UNKNOWN,
@@ -42,10 +42,10 @@ class Settled:
 
 def settled(
     raw: DataFrame, communities: DataFrame, asof: int | None = None,
-    labels: LabelSettings | None = None, gate: GateSettings | None = None,
+    labels: LabelSettings | None = None, gate: GateSettings | None = None, purges=None,
 ) -> Settled:
     asof = dates.snapshot_micros(raw) if asof is None else asof
-    built = build_training_labels(raw, labels, asof=asof, gate=gate)
+    built = build_training_labels(raw, labels, asof=asof, gate=gate, purges=purges)
     due = dates.plus_days("requested_date", "threshold_days")
     rows = attach_sector(built.rows.where(due < dates.at(asof)), communities).withColumns(
         {"month": dates.month_of("requested_date"), "dow": F.weekday("requested_date")}
@@ -142,7 +142,8 @@ def weekend_ratio(cube: DataFrame) -> DataFrame:
 
 
 def slowest_share(
-    raw: DataFrame, asof: int, settings: ScorecardSettings | None = None, gate: GateSettings | None = None
+    raw: DataFrame, asof: int, settings: ScorecardSettings | None = None, gate: GateSettings | None = None,
+    purges=None,
 ) -> DataFrame:
     """Share of all waiting days owed to the slowest few, over trailing windows of filings.
 
@@ -174,7 +175,7 @@ def slowest_share(
             & (F.add_months("month", s.window_months - 1) >= F.lit(span["lo"]).cast("date"))
         ).select(ends.alias("window"), *keep)
 
-    aged = mark_purged(raw, gate).withColumns(
+    aged = mark_purged(raw, gate, purges).withColumns(
         {"month": month, "days": dates.days_between("requested_date", "closed_date")}
     )
     kept = aged.where((F.col("days") >= 0) & ~F.col("purge_closed"))
@@ -183,10 +184,10 @@ def slowest_share(
         spread(per_month, "value", "n").groupBy("window", "value").agg(F.sum("n").alias("n")),
         "waiting-days",
     )
-    k = F.floor(F.col("rows") * F.lit(s.slowest))
+    k = f"floor(rows * {s.slowest!r}D)"
     edge = order_statistics(
-        dist, ["window"], {"edge": F.least(F.col("rows") - k, F.col("rows") - 1)}, width=DAYS_WIDTH
-    ).withColumn("k", k)
+        dist, ["window"], {"edge": f"least(rows - {k}, rows - 1)"}, width=DAYS_WIDTH
+    ).selectExpr("*", f"{k} AS k")
     above = F.col("value") > F.col("edge")
     weight = F.col("n") * F.col("value")
     sums = (
@@ -225,7 +226,8 @@ def scorecard(
 ) -> DataFrame:
     """All five series, one row per month and key, unordered; sort at the sink."""
     s = settings or ScorecardSettings()
-    done = settled(raw, communities, asof, labels, gate)
+    purges = purge_lookups(raw, gate)
+    done = settled(raw, communities, asof, labels, gate, purges)
     cube = materialize(late_counts(done.rows), "late-counts")
     parts = [
         city_late_mix_fixed(cube),
@@ -235,7 +237,7 @@ def scorecard(
     ]
     card = reduce(DataFrame.unionByName, parts).join(done.pending, "month", "left")
     return _provisional(card, s.provisional_share).unionByName(
-        _provisional(slowest_share(raw, done.asof, s, gate), s.slow_pending_share)
+        _provisional(slowest_share(raw, done.asof, s, gate, purges), s.slow_pending_share)
     )
 
 
