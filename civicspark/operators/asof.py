@@ -12,7 +12,10 @@ from civicspark.functions.dates import DAY_MICROS
 from civicspark.session import materialize
 
 NO_KEY = "__na__"  # a null key is a key of its own
-SLICE_MICROS = 600_000_000  # ten minutes
+# Slices that keep both windows of a hot key bounded: a week holds 604,800 whole seconds and
+# a decade 520 weeks; finer clocks get slices of an hour.
+SECONDS_SLICE = 7 * DAY_MICROS
+MICROS_SLICE = DAY_MICROS // 24
 
 
 @dataclass(frozen=True)
@@ -34,11 +37,6 @@ def _keyed(keys) -> list[Column]:
     ]
 
 
-def _slice(micros: int, time: str = "_at") -> Column:
-    # never null: see ordered._slice
-    return F.coalesce(F.floor(F.col(time) / micros), F.lit(0).cast("long"))
-
-
 @dataclass(frozen=True)
 class Events:
     """What is counted: a table, its time, an optional summed value, and the clock's unit.
@@ -90,25 +88,38 @@ def _facts(source: Events, asks) -> DataFrame:
 
 
 def _probes(points: DataFrame, asks) -> DataFrame:
-    """Per question and distinct (key, time): the moment itself and the start of each span."""
-    marks = []
-    for q, a in enumerate(asks):
-        now = _clock(a.events.unit, "_t")
-        ends = [("now", now)] + [(s.name, f"{now} - {s.days * DAY_MICROS}") for s in a.spans]
-        marks += [
-            f"struct({q} AS _q, {_joined(a.keys)} AS _k, {now} AS _own, '{m}' AS _mark, {at} AS _at)"
-            for m, at in ends
-        ]
-    return points.selectExpr(f"inline(array({', '.join(marks)}))").distinct()
+    """Per question and distinct (key, time): the moment itself (mark 0) and each span's start."""
+    wanted = ", ".join(
+        f"struct({q} AS _q, {_joined(a.keys)} AS _k, {_clock(a.events.unit, '_t')} AS _own)"
+        for q, a in enumerate(asks)
+    )
+    moments = points.selectExpr(f"inline(array({wanted}))").distinct()
+    marks = " ".join(
+        f"WHEN {q} THEN array("
+        + ", ".join(
+            f"struct({m} AS _mark, _own - {days * DAY_MICROS} AS _at)"
+            for m, days in enumerate([0, *(s.days for s in a.spans)])
+        )
+        + ")"
+        for q, a in enumerate(asks)
+    )
+    return moments.selectExpr("_q", "_k", "_own", f"inline(CASE _q {marks} END)")
+
 
+def _cut(asks) -> Column:
+    """The slice of a moment; never null, see ordered._slice."""
+    coarse = ", ".join(str(q) for q, a in enumerate(asks) if a.events.unit == "seconds") or "-1"
+    width = f"CASE WHEN _q IN ({coarse}) THEN {SECONDS_SLICE}D ELSE {MICROS_SLICE}D END"
+    return F.expr(f"coalesce(floor(_at / {width}), 0L)")
 
-def _totals(facts: DataFrame, probes: DataFrame, spans, closed: str) -> DataFrame:
-    """Per probe, the count and sum in each span: the difference of two running totals."""
+
+def _totals(facts: DataFrame, probes: DataFrame, asks, closed: str) -> DataFrame:
+    """Per (key, time), the running count and sum at each mark: ``_n0, _s0, _n1, ...``."""
     line = facts.selectExpr(
-        "_q", "_k", "_at", "n", "s", "CAST(NULL AS bigint) AS _own", "CAST(NULL AS string) AS _mark"
+        "_q", "_k", "_at", "n", "s", "CAST(NULL AS bigint) AS _own", "CAST(NULL AS int) AS _mark"
     ).unionByName(
         probes.selectExpr("_q", "_k", "_at", "0L AS n", "0D AS s", "_own", "_mark")
-    ).withColumn("_cut", _slice(SLICE_MICROS))
+    ).withColumn("_cut", _cut(asks))
     here = ["_q", "_k", "_cut"]
     inside = (
         Window.partitionBy(*here)
@@ -131,12 +142,11 @@ def _totals(facts: DataFrame, probes: DataFrame, spans, closed: str) -> DataFram
             "coalesce(_in_s, 0D) + coalesce(_off_s, 0D) AS _s",
         )
     )
+    most = max(len(a.spans) for a in asks)
     return ran.groupBy("_q", "_k", "_own").agg(
         *[
-            F.expr(
-                f"sum({c}) FILTER (WHERE _mark = 'now') - sum({c}) FILTER (WHERE _mark = '{s.name}')"
-            ).alias(f"{s.name}{c.replace('_s', '_sum')}")
-            for s in spans
+            F.expr(f"sum({c}) FILTER (WHERE _mark = {m})").alias(f"{c}{m}")
+            for m in range(most + 1)
             for c in ("_n", "_s")
         ]
     )
@@ -164,14 +174,16 @@ def range_agg_many(rows: DataFrame, row_time: str, asks, closed: str = "left") -
         DataFrame.unionByName,
         [_facts(e, [(q, a) for q, a in numbered if a.events is e]) for e in sources.values()],
     )
-    spans = [s for a in asks for s in a.spans]
-    totals = _totals(facts, _probes(points, asks), spans, closed)
+    totals = _totals(facts, _probes(points, asks), asks, closed)
     if len(asks) > 1:
         totals = materialize(totals, "window-totals", by=["_q"])
     answers = points
     for q, a in numbered:
-        columns = [f"{s.name}_{c}" for s in a.spans for c in ("n", "sum")]
-        own = totals.where(F.col("_q") == q).select(F.col("_k"), F.col("_own"), *columns)
+        own = totals.where(F.col("_q") == q).selectExpr(
+            "_k", "_own",
+            *[f"_n0 - _n{i} AS {s.name}_n" for i, s in enumerate(a.spans, 1)],
+            *[f"_s0 - _s{i} AS {s.name}_sum" for i, s in enumerate(a.spans, 1)],
+        )
         answers = (
             answers.selectExpr("*", f"{_joined(a.keys)} AS _k", f"{_clock(a.events.unit, '_t')} AS _own")
             .join(own, ["_k", "_own"], "left")
@@ -213,7 +225,7 @@ def last_before(
             asked.select(*names, "_t").distinct().withColumn("_ask", F.lit(1)),
             allowMissingColumns=True,
         )
-        .withColumn("_cut", _slice(slice_micros, "_t"))
+        .withColumn("_cut", F.expr(f"coalesce(floor(_t / {slice_micros}), 0L)"))
     )
     inside = (
         Window.partitionBy(*names, "_cut").orderBy("_t", "_ask")

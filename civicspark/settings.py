@@ -13,23 +13,22 @@ REPORT_ONLY = {"srg": ("N/A", "FUTURE")}
 
 # Hourly USD by instance type.
 HOURLY_USD = {
-    "glue.dpu": 0.44,
     "ml.m5.large": 0.115,
     "ml.m5.xlarge": 0.230,
-    "ml.t3.large": 0.110,
     "ml.t3.medium": 0.050,
+    "ml.t3.large": 0.110,
     "ml.t3.xlarge": 0.220,
+    "glue.dpu": 0.44,
 }
 SPOT_FACTOR = 0.30
 
 # The department prefixes tracked by the drift profile.
 DEPARTMENTS = (
-    "311 Contact Us", "ACPL", "AS", "AT", "Active Living Program Application",
-    "After Hours Transit", "Business Safety", "Bylaw", "CFD", "CT", "CT AC",
-    "Community Safety", "Corporate", "Customer Service & Communications", "DBBS",
-    "DBBS Concern", "DBBS Inspection", "Finance", "GFL", "HR", "Law",
-    "Opinions on Business Units", "PSD", "Parks", "RSP", "Recreation", "Roads", "VFH",
-    "WATS", "WRS",
+    "Roads", "WRS", "Bylaw", "Parks", "WATS", "AT", "Corporate", "CT", "DBBS Inspection",
+    "Finance", "CFD", "RSP", "DBBS", "AS", "311 Contact Us", "Recreation", "GFL", "CT AC",
+    "ACPL", "Opinions on Business Units", "Community Safety", "Business Safety",
+    "DBBS Concern", "PSD", "Law", "Active Living Program Application", "HR",
+    "After Hours Transit", "VFH", "Customer Service & Communications",
 )
 OTHER_DEPARTMENT = "Other"
 
