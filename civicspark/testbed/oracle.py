@@ -297,7 +297,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("points", "control"),
         """SELECT p.series, p.key, p.month, abs(any_value(mu) * pow(0.7, p.i)
           + sum(0.3 * pow(0.7, p.i - q.i) * q.x) - any_value(mu))
-          > 3.0 * any_value(sigma) * sqrt(0.3 / 1.7 * (1 - pow(0.7, 2 * p.i))) AS out
+          > 0.5 * any_value(sigma) * sqrt(0.3 / 1.7 * (1 - pow(0.7, 2 * p.i))) AS out
         FROM points p JOIN points q ON q.series = p.series AND q.key = p.key AND q.i <= p.i
         JOIN control c ON c.series = p.series AND c.key = p.key
         GROUP BY p.series, p.key, p.month, p.i""",

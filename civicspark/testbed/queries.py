@@ -34,6 +34,7 @@ from civicspark.session import new_path
 from civicspark.settings import (
     ControlSettings,
     FairnessSettings,
+    LabelSettings,
     LateRate,
     PromotionSettings,
     ScorecardSettings,
@@ -71,6 +72,7 @@ ID = "service_request_id"
 CATEGORY = "1-URGENT - BUILDING"
 DEPARTMENTS = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 CARD = ScorecardSettings(segment_category=CATEGORY, segment_sector="AMERICA")
+TIGHT = ControlSettings(limit=0.5)  # narrow limits, so these short series have flags to check
 SMALL_FAIR = FairnessSettings(min_group_rows=50, min_group_positives=10)
 
 
@@ -221,10 +223,12 @@ def load_requests(spark, d):
     return rows.select(ID, "service_name", stamp_text("requested_date"), stamp_text("closed_date"))
 
 
-@query("load_communities")
+@query("load_communities", sql("SELECT comm_code, name, sector, srg FROM comms", "comms"))
 def load_communities(spark, d):
     path = new_path(adapter.prepare(spark), "communities")
-    adapter.communities(spark, d).coalesce(1).write.json(path)
+    # one JSON array, as the lookup is published: a dimension of a few hundred rows
+    listed = F.to_json(F.collect_list(F.struct("comm_code", "name", "sector", "srg", "class")))
+    adapter.communities(spark, d).agg(listed.alias("value")).write.text(path)
     return tables.load_communities(spark, path).select("comm_code", "name", "sector", "srg")
 
 
@@ -1533,12 +1537,14 @@ def validation_report(spark, d):
 
 # --- model and metrics ----------------------------------------------------------------
 
+# Durations here run to years, so a longer holdout is needed for late rows to appear in it.
+LONG = LabelSettings(window_years=6, holdout_years=3)
 TREES = {"maxIter": 5, "maxDepth": 4, "max_bins": 64}
 
 
 def fitted(spark, d, feature_set="challenger"):
     """Labels, aligned test features with their label, and a small fitted model."""
-    done = built(spark, d)
+    done = built(spark, d, settings=LONG)
     raw, comms, hol = adapter.requests(spark, d), adapter.communities(spark, d), adapter.holidays(spark, d)
     train = labels.recent(done.train, 2)
     parts = []
@@ -1561,7 +1567,7 @@ def train_model(spark, d):
 
 @query("separability")
 def separability(spark, d):
-    done = built(spark, d)
+    done = built(spark, d, settings=LONG)
     rows = features.explore_backlog(done.rows.where(F.col("closed_date").isNotNull())).withColumns(
         {"mon": F.month("requested_date").cast("double"), "dow": F.weekday("requested_date").cast("double")}
     )
@@ -1977,7 +1983,7 @@ def settled(spark, d):
     ),
 )
 def scorecard_flags(spark, d):
-    out = scorecard.add_flags(adapter.materialize(card(spark, d), "card"))
+    out = scorecard.add_flags(adapter.materialize(card(spark, d), "card"), TIGHT)
     return out.select(
         F.date_format("month", "yyyy-MM-dd").alias("month"), "series", "key", six("residual"), "flag"
     )
@@ -1992,7 +1998,7 @@ def scorecard_flags(spark, d):
     ),
 )
 def recent_flags(spark, d):
-    flags = adapter.materialize(scorecard.add_flags(adapter.materialize(card(spark, d), "card")), "flags")
+    flags = adapter.materialize(scorecard.add_flags(adapter.materialize(card(spark, d), "card"), TIGHT), "flags")
     return scorecard.recent_flags(flags, 60)
 
 

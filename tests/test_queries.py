@@ -29,7 +29,9 @@ def test_query_equals_sql(spark, sf, duck, name):
 
 
 def test_the_model_reproduces_itself(spark, sf):
-    assert all(r["matches"] for r in entry.queries()["save_load_model"](spark, sf).collect())
+    rows = entry.queries()["save_load_model"](spark, sf).collect()
+    assert {r["metric"] for r in rows} == {"roc_auc", "pr_auc", "top_decile_lift"}
+    assert all(r["matches"] for r in rows)
 
 
 def test_contract(spark):
