@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 from civicspark.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from civicspark.llm.html_text import op9_html_text
+from civicspark.llm.language_model import op10_language_model
 from civicspark.llm.line_dedup import OP1_SQL, op1_line_dedup
+from civicspark.llm.minhash import OP6_SQL, op6_minhash
 from civicspark.llm.mixing import OP2_SQL, op2_mix
+from civicspark.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix": op2_mix,
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_minhash": op6_minhash,
+    "op8_toxicity": op8_toxicity,
+    "op9_html_text": op9_html_text,
+    "op10_language_model": op10_language_model,
+}
+ORACLE = {
+    "op1_line_dedup": OP1_SQL,
+    "op2_mix": OP2_SQL,
+    "op3_exact_dedup": OP3_SQL,
+    "op6_minhash": OP6_SQL,
 }
-ORACLE = {"op1_line_dedup": OP1_SQL, "op2_mix": OP2_SQL, "op3_exact_dedup": OP3_SQL}
