@@ -8,6 +8,7 @@ from civicspark.llm.language_model import op10_language_model
 from civicspark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from civicspark.llm.minhash import OP6_SQL, op6_minhash
 from civicspark.llm.mixing import OP2_SQL, op2_mix
+from civicspark.llm.pieces import op7_pieces
 from civicspark.llm.toxicity import op8_toxicity
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_mix": op2_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_minhash": op6_minhash,
+    "op7_pieces": op7_pieces,
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_language_model": op10_language_model,
