@@ -9,6 +9,7 @@ from civicspark.llm.line_dedup import OP1_SQL, op1_line_dedup
 from civicspark.llm.minhash import OP6_SQL, op6_minhash
 from civicspark.llm.mixing import OP2_SQL, op2_mix
 from civicspark.llm.neighbours import OP5_SQL, op5_near_vectors
+from civicspark.llm.passages import op4_passages
 from civicspark.llm.pieces import op7_pieces
 from civicspark.llm.toxicity import op8_toxicity
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix": op2_mix,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_passages": op4_passages,
     "op5_near_vectors": op5_near_vectors,
     "op6_minhash": op6_minhash,
     "op7_pieces": op7_pieces,
