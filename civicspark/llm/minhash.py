@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicspark.llm.columns import fresh, whole
 from civicspark.llm.graph import components
 from civicspark.llm.words import hash_words, mix, shingles, slices, text_bytes
 from civicspark.session import materialize
@@ -73,8 +74,8 @@ def _features(width: int):
                 k1, k2 = _digests(values, starts)
                 n = np.where(blank, 0, np.diff(starts))
                 yield pa.RecordBatch.from_arrays(
-                    [batch["id"].slice(begin, k), pa.array(n.astype(np.int64)), pa.array(k1), pa.array(k2), _list(signature), _list(bands)],
-                    names=["id", "n", "k1", "k2", "signature", "bands"],
+                    [batch["id"].slice(begin, k), batch["body"].slice(begin, k), pa.array(n.astype(np.int64)), pa.array(k1), pa.array(k2), _list(signature), _list(bands)],
+                    names=["id", "body", "n", "k1", "k2", "signature", "bands"],
                 )
 
     return run
@@ -114,7 +115,7 @@ def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     wanted = materialize(classes.join(wanted, "cid", "left_semi").select("cid", "least", "k1", "k2", "n"), "wanted")
     found = docs.join(wanted.select("least").distinct(), F.col("id").eqNullSafe(F.col("least")), "left_semi")
-    sets = found.select("id", "text").mapInArrow(_full_sets(width), "k1 long, k2 long, members array<long>")
+    sets = found.select("text").mapInArrow(_full_sets(width), "k1 long, k2 long, members array<long>")
     sets = sets.join(wanted.select("cid", "k1", "k2"), ["k1", "k2"]).select("cid", "members")
     sets = materialize(sets.dropDuplicates(["cid"]), "sets")
     both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("x")), "a")
@@ -124,7 +125,7 @@ def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: id, n_shingles, component_id, kept, body (a digest of the text).
 
     A document's set holds the distinct shingles of ``width`` words (A-Z lower-cased); with fewer
     words the whole sequence is its one shingle, and a null, empty or blank text has none and links
@@ -137,9 +138,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     least class of the band, a star and not all pairs. What the stars leave in different components
     of one band is then compared pair by pair, the estimate inside the join.
     """
-    docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(whole(text)).alias("body"))
     kind = docs.schema["id"].dataType.simpleString()
-    features = docs.mapInArrow(_features(width), f"id {kind}, n long, k1 long, k2 long, signature array<long>, bands array<long>")
+    features = docs.mapInArrow(_features(width), f"id {kind}, body long, n long, k1 long, k2 long, signature array<long>, bands array<long>")
     features = materialize(features, "features")
     classes = features.filter("n > 0").groupBy("k1", "k2", "n")
     classes = classes.agg(F.min("id").alias("least"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
@@ -175,14 +176,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     named = named.withColumn("component", label)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialize(named.join(materialize(least, "least"), "component").select("k1", "k2", "n", "component_id"), "named")
-    own = features.select("id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
+    own = features.select("id", "body", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return own.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return own.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), "body")
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group, all their columns as they are. Rows that
+    repeat both id and text are one document, of which one row stays."""
+    found = near_duplicates(docs, doc_id=doc_id, text=text, **options).filter("kept").select("id", "body")
+    found = materialize(found, "kept")
+    p = fresh(docs)
+    keys = found.distinct().select(F.col("id").alias(p + "id"), F.col("body").alias(p + "text"))
+    marked = docs.withColumn(p + "body", F.xxhash64(whole(text)))
+    out = marked.join(keys, F.col(doc_id).eqNullSafe(F.col(p + "id")) & (F.col(p + "body") == F.col(p + "text")), "left_semi")
+    if found.groupBy("id", "body").count().filter("count > 1").limit(1).count():
+        out = out.dropDuplicates([doc_id, p + "body"])
+    return out.select(*docs.columns)
 
 
 def op6_minhash(spark, sf_dir: str) -> DataFrame:
     out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=2)
-    return out.withColumnRenamed("id", "doc_id")
+    return out.withColumnRenamed("id", "doc_id").drop("body")
 
 
 OP6_SQL = r"""

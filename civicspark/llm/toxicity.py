@@ -217,6 +217,23 @@ def score_texts(docs: DataFrame, scorer: Scorer, carry: tuple[str, ...] = ("doc_
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)), "score")
 
 
+def _keep(scorer: Scorer, text: str, limit: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, w = scorer.automaton(), np.array(scorer.curve)
+        for batch in batches:
+            found = np.array([measure(fold(t.as_py()), automaton) for t in batch[text]], float).reshape(-1, 2)
+            yield batch.filter(pa.array(w[0] + found @ w[1:] < limit))
+
+    return run
+
+
+def drop_toxic(docs: DataFrame, scorer: Scorer, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, all their columns as they are. Texts
+    go through once and nothing is shuffled."""
+    limit = float(np.log(threshold / (1 - threshold)))
+    return docs.mapInArrow(_keep(scorer, text, limit), docs.schema)
+
+
 def training_rows(labels: DataFrame, modulus: int = 5, doc_id: str = "doc_id") -> DataFrame:
     """The labelled rows that may be learned from: those whose id isn't held out."""
     return labels.filter(remainder(F.col(doc_id), modulus) != 0)
