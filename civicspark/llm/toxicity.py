@@ -24,27 +24,34 @@ EXCEPTIONS = ("trash can", "trash cans", "trash bag", "trash bags", "trash colle
 
 
 class Fold(dict):
-    """A translation table filled as letters are met: look-alikes, accents, digits and case go,
-    letters that are often swapped (i, l, 1) become one, everything else becomes a space."""
+    """A translation table filled as letters are met: look-alikes, digits and case go, letters that
+    are often swapped (i, l, 1) become one, everything else becomes a space. ``plain`` takes the
+    accents off as well; both kinds turn a character into equally many."""
+
+    def __init__(self, plain: bool):
+        super().__init__()
+        self.plain = plain
 
     def __missing__(self, code: int) -> str:
-        ch = chr(code).lower()
         if unicodedata.category(chr(code)) in ("Cf", "Mn"):
-            out = ""  # zero-width signs and accents of their own
+            out = ""  # zero-width signs, and accents that stand alone
         else:
-            base = "".join(c for c in unicodedata.normalize("NFKD", ch) if unicodedata.category(c) != "Mn")
-            base = "".join(SUBSTITUTES.get(c, HOMOGLYPHS.get(c, c)) for c in base)
-            out = "".join(("i" if c == "l" else c) if c.isalnum() else " " for c in base) or " "
+            letters = unicodedata.normalize("NFKC", chr(code).lower())
+            bases = [unicodedata.normalize("NFKD", c)[0] for c in letters]
+            folded = [SUBSTITUTES.get(x, HOMOGLYPHS.get(x, x)) for x in bases]
+            # An accent stays only on a letter that is itself.
+            kept = [y if self.plain or x != y else c for c, x, y in zip(letters, bases, folded)]
+            out = "".join(("i" if c == "l" else c) if c.isalnum() else " " for c in kept) or " "
         self[code] = out
         return out
 
 
-FOLD = Fold()
+PLAIN, ACCENTED = Fold(True), Fold(False)
 
 
-def fold(text: str | None) -> str:
+def fold(text: str | None, table: Fold = PLAIN) -> str:
     """Words parted by single spaces or more, a space at either end."""
-    return f" {(text or '').translate(FOLD)} "
+    return f" {(text or '').translate(table)} "
 
 
 class Scorer(NamedTuple):
@@ -76,13 +83,14 @@ def grams(folded: str, shortest: int, longest: int) -> set[str]:
     return out
 
 
-def measure(folded: str, automaton: ahocorasick.Automaton) -> tuple[float, float]:
+def measure(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float, float]:
     """The log of the matched weight, and of the matched weight per hundred words. Each word
-    counts once, with its heaviest pattern; words inside an exception phrase don't count."""
-    best: dict[int, float] = {}
-    spared: list[tuple[int, int]] = []
-    if len(automaton):
-        for end, (length, weight) in automaton.iter(folded):
+    counts once, with its heaviest pattern, with or without its accents; words inside an
+    exception phrase don't count."""
+    folded, best, spared = fold(text), {}, []
+    accented = fold(text, ACCENTED)
+    for form in (folded, accented) if accented != folded else (folded,):
+        for end, (length, weight) in automaton.iter(form) if len(automaton) else ():
             start = end - length + 1
             if weight is None:
                 spared.append((start, end))
@@ -112,7 +120,8 @@ def _count(shortest: int, longest: int, flush: int = 300_000):
         for batch in batches:
             for text, toxic, half in zip(batch["text"], batch["toxic"], batch["half"]):
                 at = 2 * half.as_py() + (0 if toxic.as_py() else 1)
-                for gram in grams(fold(text.as_py()), shortest, longest):
+                text = text.as_py()
+                for gram in grams(fold(text) + fold(text, ACCENTED), shortest, longest):
                     counts[gram][at] += 1
                 if len(counts) >= flush:
                     yield out()
@@ -122,17 +131,21 @@ def _count(shortest: int, longest: int, flush: int = 300_000):
 
 
 def _weights(rows: list, toxic: float, clean: float, p: str, n: str, least: float, size: int) -> dict[str, float]:
-    """Log-odds of the grams; a longer one goes if its beginning says as much."""
-    found = {}
+    """Log-odds of the grams. A beginning goes if nearly all its support is one longer gram, which
+    is more exact; a longer gram goes if a beginning that is left says as much."""
+    found, support, longer = {}, {}, defaultdict(int)
     for r in rows:
         pos, neg = sum(r[c] for c in p.split()), sum(r[c] for c in n.split())
         weight = np.log((pos + 0.5) / (toxic + 1)) - np.log((neg + 0.5) / (clean + 1))
         if pos >= 2 and weight >= least:
-            found[r["gram"]] = float(weight)
+            found[r["gram"]], support[r["gram"]] = float(weight), pos
+    for gram, pos in support.items():
+        for k in range(2, len(gram)):
+            longer[gram[:k]] = max(longer[gram[:k]], pos)
     kept: dict[str, float] = {}
     for gram in sorted(found, key=len):
         parents = (kept.get(gram[:k], 0.0) for k in range(2, len(gram)))
-        if max(parents, default=0.0) < found[gram] - 0.5:
+        if longer[gram] < 0.9 * support[gram] and max(parents, default=0.0) < found[gram] - 0.5:
             kept[gram] = found[gram]
     return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:size])
 
@@ -150,7 +163,7 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, floa
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, rows: int = 20_000, size: int = 4_000, least: float = 2.0, shortest: int = 3, longest: int = 6,
+    docs: DataFrame, labels: DataFrame, rows: int = 20_000, size: int = 4_000, least: float = 3.0, shortest: int = 3, longest: int = 8,
     exceptions: tuple[str, ...] = EXCEPTIONS, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic",
 ) -> Scorer:
     """A scorer from labelled documents.
@@ -189,7 +202,7 @@ def _figures(halves: list[Scorer]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = [x.automaton() for x in halves]
         for batch in batches:
-            found = [measure(fold(t.as_py()), automata[h.as_py()]) for t, h in zip(batch["text"], batch["half"])]
+            found = [measure(t.as_py(), automata[h.as_py()]) for t, h in zip(batch["text"], batch["half"])]
             columns = np.array(found, float).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(columns[:, 0]), pa.array(columns[:, 1])], names=["toxic", "a", "b"])
 
@@ -200,7 +213,7 @@ def _score(scorer: Scorer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, w = scorer.automaton(), np.array(scorer.curve)
         for batch in batches:
-            found = np.array([measure(fold(t.as_py()), automaton) for t in batch["text"]], float).reshape(-1, 2)
+            found = np.array([measure(t.as_py(), automaton) for t in batch["text"]], float).reshape(-1, 2)
             score = 1 / (1 + np.exp(-np.clip(w[0] + found @ w[1:], -500, 500)))
             others = [batch[i] for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*others, pa.array(score)], names=[*batch.schema.names[:-1], "score"])
@@ -221,7 +234,7 @@ def _keep(scorer: Scorer, text: str, limit: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, w = scorer.automaton(), np.array(scorer.curve)
         for batch in batches:
-            found = np.array([measure(fold(t.as_py()), automaton) for t in batch[text]], float).reshape(-1, 2)
+            found = np.array([measure(t.as_py(), automaton) for t in batch[text]], float).reshape(-1, 2)
             yield batch.filter(pa.array(w[0] + found @ w[1:] < limit))
 
     return run
