@@ -19,7 +19,7 @@ def job_kind(name, project: str) -> Column:
     name = F.col(name) if isinstance(name, str) else name
     own = f"{project}-"
     launched = F.nullif(
-        F.regexp_replace(F.substring(name, len(own) + 1, 10_000), r"-\d{8}-\d{6}$", ""), F.lit("")
+        F.regexp_replace(F.call_function("substring", name, F.lit(len(own) + 1)), r"-\d{8}-\d{6}$", ""), F.lit("")
     )
     parts = F.split(name, "-")
     step = F.when(

@@ -70,6 +70,8 @@ def inject(df: DataFrame, pattern: str, share: float, row_id: str = "service_req
     if not k:
         raise ValueError(f"no rows match {pattern!r}")
     n_hit = round(share * n)
+    if n - n_hit > n - k:
+        raise ValueError(f"{n - n_hit} rows without {pattern!r} wanted, {n - k} there: share {share} is below the present {k / n:.4f}")
     hits = materialize(
         rank_rows(
             marked.where(F.col("_hit")).withColumn("_zero", F.lit(0.0)), [], "_zero", row_id, name="_i"

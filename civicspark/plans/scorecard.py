@@ -92,18 +92,28 @@ def city_late_mix_fixed(cube: DataFrame) -> DataFrame:
 
 
 def observed_expected(cube: DataFrame, cells, by) -> DataFrame:
-    """Late rate over the rate its mix predicts, per ``by``; ``cells`` set the expectation."""
+    """Late rate over the mean rate its mix predicts, per ``by``; ``cells`` set the expectation.
+
+    Rows of a null category have no expectation: they count among the rows and the late, and
+    are left out of the mean only.
+    """
     rate = _totals(cube, *cells).select(*cells, (F.col("late") / F.col("n")).alias("_e"))
     out = (
-        cube.join(rate, list(cells))
+        cube.join(rate, list(cells), "left")
         .groupBy(*by)
         .agg(
             F.sum("late").alias("late"),
             F.sum(F.col("n") * F.col("_e")).alias("expected"),
+            F.sum(F.when(F.col("_e").isNotNull(), F.col("n"))).alias("known"),
             F.sum("n").alias("n"),
         )
     )
-    return out.withColumn("value", ratio("late", "expected"))
+    return out.withColumn("value", _over_expected("late", "n", "expected", "known"))
+
+
+def _over_expected(late: str, n: str, expected: str, known: str):
+    """(late / n) over (expected / known), null where nothing is expected."""
+    return F.try_divide(F.col(late) / F.col(n), ratio(expected, known))
 
 
 def sector_obs_expected(cube: DataFrame) -> DataFrame:
@@ -123,7 +133,7 @@ def weekend_ratio(cube: DataFrame) -> DataFrame:
     rate = _totals(cube, "service_name", "sector").select(
         "service_name", "sector", (F.col("late") / F.col("n")).alias("_e")
     )
-    tagged = cube.join(rate, ["service_name", "sector"]).withColumn("side", side)
+    tagged = cube.join(rate, ["service_name", "sector"], "left").withColumn("side", side)
 
     def total(c, s):
         return F.sum(F.when(F.col("side") == s, c))
@@ -136,8 +146,15 @@ def weekend_ratio(cube: DataFrame) -> DataFrame:
         total(F.col("late"), "day").alias("late_day"),
         total(exp, "end").alias("exp_end"),
         total(exp, "day").alias("exp_day"),
+        total(F.when(exp.isNotNull(), F.col("n")), "end").alias("known_end"),
+        total(F.when(exp.isNotNull(), F.col("n")), "day").alias("known_day"),
     ).where(F.col("n").isNotNull() & F.col("n_day").isNotNull())
-    oe = months.withColumns({"_end": ratio("late_end", "exp_end"), "_day": ratio("late_day", "exp_day")})
+    oe = months.withColumns(
+        {
+            "_end": _over_expected("late_end", "n", "exp_end", "known_end"),
+            "_day": _over_expected("late_day", "n_day", "exp_day", "known_day"),
+        }
+    )
     return _series(oe.withColumn("value", ratio("_end", "_day")), "fri_sat_vs_mon_thu")
 
 

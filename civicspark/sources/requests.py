@@ -103,26 +103,30 @@ def write_raw(df: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
     ).json(path)
 
 
-def snapshot_manifest(raw: DataFrame, *, resource: str, asof: str, window: str = "", page_size: int = 50_000) -> DataFrame:
-    """The one-row manifest written beside a snapshot."""
+def snapshot_manifest(
+    raw: DataFrame, *, resource: str, asof: str, pulled_at: str, window: str = "", page_size: int = 50_000
+) -> DataFrame:
+    """The one-row manifest written beside a snapshot; ``pulled_at`` is the moment of the pull."""
     return raw.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(resource).alias("resource"),
         F.lit(asof).alias("asof"),
         F.lit(window).alias("window_where"),
         "row_count",
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("pulled_at"),
+        F.lit(pulled_at).alias("pulled_at"),
         F.lit(page_size).cast("long").alias("page_size"),
     )
 
 
-def pull_snapshot(df: DataFrame, base: str, asof: str, *, resource: str, window: str = "") -> DataFrame:
+def pull_snapshot(
+    df: DataFrame, base: str, asof: str, *, resource: str, pulled_at: str, window: str = ""
+) -> DataFrame:
     """Land ``df`` as ``asof=<date>`` with its manifest; returns the manifest."""
     path = f"{base}/asof={asof}"
     text = privacy_projection(df)
     write_raw(text.select(*[F.col(c).cast("string").alias(c) for c in text.columns]), path)
     manifest = materialize(
         snapshot_manifest(
-            read_raw(df.sparkSession, path), resource=resource, asof=asof, window=window
+            read_raw(df.sparkSession, path), resource=resource, asof=asof, pulled_at=pulled_at, window=window
         ),
         "manifest",
     )

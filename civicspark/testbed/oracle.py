@@ -53,7 +53,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "requests": (
         ("closed_by",),
         """SELECT CAST(o_orderkey AS VARCHAR) AS service_request_id, o_orderdate AS requested_date,
-        o_orderpriority || ' - ' || c_mktsegment AS service_name,
+        CASE WHEN o_orderkey % 1500 <> 3 THEN o_orderpriority || ' - ' || c_mktsegment END AS service_name,
         c_mktsegment AS agency_responsible, CAST(c_nationkey AS VARCHAR) AS comm_code,
         n_name AS comm_name, o_orderstatus AS source,
         CAST(o_orderkey % 360 - 180 AS DOUBLE) AS longitude,
@@ -114,7 +114,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "thr": (
         ("clean_train",),
-        "SELECT service_name, quantile_cont(days, 0.75::DOUBLE) AS t FROM clean_train GROUP BY 1",
+        "SELECT service_name, quantile_cont(days, 0.75::DOUBLE) AS t FROM clean_train WHERE service_name IS NOT NULL GROUP BY 1",
     ),
     "gthr": (("clean_train",), "SELECT quantile_cont(days, 0.75::DOUBLE) AS g FROM clean_train"),
     "overdue": (
@@ -221,15 +221,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "city": (
         ("settled",),
         """SELECT month, 'city_late_mix_fixed' AS series, '' AS key, sum(r * w) / sum(w) AS value,
-        sum(n)::BIGINT AS n FROM
-        (SELECT month, service_name, avg(breach) AS r, count(*) AS n FROM settled GROUP BY 1, 2)
-        JOIN (SELECT service_name, count(*) AS w FROM settled GROUP BY 1) USING (service_name) GROUP BY 1""",
+        any_value(a.n) AS n FROM
+        (SELECT month, service_name, avg(breach) AS r FROM settled GROUP BY 1, 2)
+        JOIN (SELECT service_name, count(*) AS w FROM settled GROUP BY 1) USING (service_name)
+        JOIN (SELECT month, count(*) AS n FROM settled GROUP BY 1) a USING (month) GROUP BY 1""",
     ),
     "sector_oe": (
         ("settled",),
         """SELECT month, 'sector_obs_expected' AS series, sector AS key,
         avg(breach) / nullif(avg(e), 0) AS value, count(*) AS n FROM
-        (SELECT *, avg(breach) OVER (PARTITION BY month, service_name) AS e FROM settled)
+        (SELECT *, CASE WHEN service_name IS NOT NULL THEN avg(breach) OVER (PARTITION BY month, service_name) END AS e FROM settled)
         WHERE sector <> 'UNKNOWN' GROUP BY 1, 3""",
     ),
     "segment": (
@@ -243,7 +244,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         (avg(breach) FILTER (dow IN (4, 5)) / nullif(avg(e) FILTER (dow IN (4, 5)), 0))
         / nullif(avg(breach) FILTER (dow < 4) / nullif(avg(e) FILTER (dow < 4), 0), 0) AS value,
         count(*) FILTER (dow IN (4, 5)) AS n FROM
-        (SELECT *, avg(breach) OVER (PARTITION BY service_name, sector) AS e FROM settled)
+        (SELECT *, CASE WHEN service_name IS NOT NULL THEN avg(breach) OVER (PARTITION BY service_name, sector) END AS e FROM settled)
         GROUP BY 1 HAVING count(*) FILTER (dow IN (4, 5)) > 0 AND count(*) FILTER (dow < 4) > 0""",
     ),
     "windows": (
@@ -336,6 +337,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "roll_cat": (("requests",), rolling("service_name", 30)),
     "roll_comm": (("requests",), rolling("comm_name", 30)),
     "roll_year": (("requests",), rolling("service_name", 365)),
+    "train_recent": (
+        ("labels",),
+        """SELECT * FROM labels WHERE split = 'train' AND requested_date >=
+        (SELECT max(requested_date) - INTERVAL 2 YEAR FROM labels WHERE split = 'train')""",
+    ),
+    "roll_train": (("train_recent",), rolling("service_name", 30, "train_recent", "train_recent")),
     "roll_right": (("requests",), rolling("service_name", 30, closed="right")),
     "calendar": (
         ("requests", "holidays"),

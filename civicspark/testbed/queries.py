@@ -114,7 +114,7 @@ def raw_base(spark, d) -> str:
     return adapter._built[key]
 
 
-@query("read_raw")
+@query("read_raw", sql("SELECT source, count(*) AS n, count(closed_date) AS closed FROM requests GROUP BY 1", "requests"))
 def read_raw(spark, d):
     raw = raw_zone.read_raw(adapter.prepare(spark), raw_base(spark, d))
     return raw.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("closed_date").alias("closed"))
@@ -203,12 +203,16 @@ def processed_path(spark, d) -> str:
     return adapter._built[key]
 
 
-@query("rebuild_processed")
+@query(
+    "rebuild_processed",
+    sql("SELECT year(requested_date)::BIGINT AS year, month(requested_date)::BIGINT AS month, count(*) AS n FROM requests GROUP BY 1, 2", "requests"),
+)
 def rebuild_processed(spark, d):
     path = new_path(adapter.prepare(spark), "rebuilt")
     for _ in range(2):  # the second build replaces the first
         raw_zone.rebuild_processed(spark, raw_base(spark, d), path, unique=True)
-    return spark.read.parquet(path).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
+    stored = spark.read.parquet(path).select(*[F.col(c).cast("long").alias(c) for c in raw_zone.PARTITIONS])
+    return stored.groupBy(*raw_zone.PARTITIONS).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -240,7 +244,10 @@ def latest_asof(spark, d):
     return snapshots.latest_asof(adapter.prepare(spark), raw_base(spark, d))
 
 
-@query("replay_snapshot")
+@query(
+    "replay_snapshot",
+    sql("SELECT service_name, count(*) AS n FROM requests WHERE year(requested_date) = 1998 GROUP BY 1", "requests"),
+)
 def replay_snapshot(spark, d):
     path = new_path(adapter.prepare(spark), "replayed")
     snapshots.replay(spark, raw_base(spark, d), path, asof="1998-12-31")
@@ -257,10 +264,18 @@ def stale_keys(spark, d):
     return snapshots.stale_keys(present, written)
 
 
-@query("snapshot_manifest")
+@query(
+    "snapshot_manifest",
+    sql(
+        """SELECT 'requests' AS resource, '2001-08-02' AS "asof", '' AS window_where, count(*) AS row_count,
+        '2001-08-02T06:00:00+00:00' AS pulled_at, 50000::BIGINT AS page_size FROM requests""",
+        "requests",
+    ),
+)
 def snapshot_manifest(spark, d):
     return raw_zone.pull_snapshot(
-        adapter.requests(spark, d), new_path(spark, "pulled"), "2001-08-02", resource="requests"
+        adapter.requests(spark, d), new_path(spark, "pulled"), "2001-08-02", resource="requests",
+        pulled_at="2001-08-02T06:00:00+00:00",
     )
 
 
@@ -285,7 +300,10 @@ def keyset_page(spark, d):
     return page.select(ID, stamp_text("requested_date"))
 
 
-@query("write_scores")
+@query(
+    "write_scores",
+    sql('SELECT run AS "asof", count(*) AS n, sum(CAST(flagged AS INT))::BIGINT AS flagged FROM scores GROUP BY 1', "scores"),
+)
 def write_scores(spark, d):
     stored = adapter.scores(spark, d)
     path = new_path(spark, "score-copy")
@@ -359,17 +377,27 @@ def time_split(spark, d):
     return labels.add_split(rows, labels.holdout_boundary(rows)).select(ID, "split")
 
 
-@query("leakage_guard")
+GUARDED = LEAKY_COLUMNS
+
+
+@query(
+    "leakage_guard",
+    sql(
+        f"""SELECT {", ".join(f"count({c}) AS {c}" for c in GUARDED)}, '{",".join(sorted(GUARDED))}' AS refused
+        FROM (SELECT *, days AS days_to_close FROM labels)""",
+        "labels",
+    ),
+)
 def leakage_guard(spark, d):
     """Which columns of the labelled table the guard refuses, and how many rows carry them."""
     rows = built(spark, d).rows
+    names = [c for c in rows.columns if c in LEAKY_COLUMNS]
     try:
         labels.assert_no_leakage(rows)
-        caught = ""
+        refused = ""
     except labels.LeakageError as e:
-        caught = str(e)
-    names = [c for c in rows.columns if c in LEAKY_COLUMNS]
-    return rows.agg(*[F.count(c).alias(c) for c in names]).withColumn("caught", F.lit(caught))
+        refused = ",".join(sorted(c for c in rows.columns if f"'{c}'" in str(e)))
+    return rows.agg(*[F.count(c).alias(c) for c in names]).withColumn("refused", F.lit(refused))
 
 
 @query(
@@ -1241,7 +1269,16 @@ def training_labels(spark, d):
     )
 
 
-@query("schema_check")
+@query(
+    "schema_check",
+    sql(
+        """SELECT 'schema' AS name, 'fail' AS severity, true AS passed, 'all required columns present' AS detail,
+        '{"missing":"","rows":' || count(*)::VARCHAR || '}' AS observed FROM requests
+        UNION ALL SELECT 'schema', 'fail', false, 'missing columns: [''comm_name'']',
+        '{"missing":"comm_name","rows":' || count(*)::VARCHAR || '}' FROM requests""",
+        "requests",
+    ),
+)
 def schema_check(spark, d):
     rows = adapter.requests(spark, d)
     return quality.check_schema(rows).unionByName(quality.check_schema(rows.drop("comm_name")))
@@ -1313,7 +1350,15 @@ def report_path(spark, d):
     )
 
 
-@query("exterior_rings")
+@query(
+    "exterior_rings",
+    sql(
+        """SELECT service_request_id, CASE WHEN k % 5 = 0 THEN 0 WHEN k % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS rings,
+        CASE WHEN k % 5 = 0 THEN 0 WHEN k % 3 = 0 THEN 8 ELSE 4 END::BIGINT AS points
+        FROM (SELECT *, CAST(service_request_id AS BIGINT) AS k FROM requests)""",
+        "requests",
+    ),
+)
 def exterior_rings(spark, d):
     """A square (every third one inside a multipolygon, every fifth a point) around each request."""
     key = F.col(ID).cast("long")
@@ -1329,7 +1374,8 @@ def exterior_rings(spark, d):
     )
     out = maps.exterior_rings(adapter.requests(spark, d).withColumn("geometry", geometry))
     return out.select(
-        ID, F.size("rings").alias("rings"), F.aggregate("rings", F.lit(0), lambda a, r: a + F.size(r)).alias("points")
+        ID, F.size("rings").cast("long").alias("rings"),
+        F.aggregate("rings", F.lit(0), lambda a, r: a + F.size(r)).cast("long").alias("points"),
     )
 
 
@@ -1438,9 +1484,9 @@ def check_unique_ids(spark, d):
 @query(
     "check_null_rates",
     sql(
-        """SELECT max(CASE WHEN r > 0.1::DOUBLE THEN 1 ELSE 0 END) = 0 AS passed, round(max(r), 6) AS comm_name,
-        0.0::DOUBLE AS service_name FROM (SELECT count(*) FILTER (CAST(service_request_id AS BIGINT) % 9 = 0)
-        / count(*)::DOUBLE AS r FROM requests)""",
+        """SELECT r <= 0.1::DOUBLE AND c <= 0.001::DOUBLE AS passed, round(r, 6) AS comm_name, round(c, 6) AS service_name FROM
+        (SELECT count(*) FILTER (CAST(service_request_id AS BIGINT) % 9 = 0) / count(*)::DOUBLE AS r,
+        count(*) FILTER (service_name IS NULL) / count(*)::DOUBLE AS c FROM requests)""",
         "requests",
     ),
 )
@@ -1450,7 +1496,7 @@ def check_null_rates(spark, d):
     return out.select(
         "passed",
         F.round(F.get_json_object("observed", "$.comm_name").cast("double"), 6).alias("comm_name"),
-        F.get_json_object("observed", "$.service_name").cast("double").alias("service_name"),
+        F.round(F.get_json_object("observed", "$.service_name").cast("double"), 6).alias("service_name"),
     )
 
 
@@ -1479,18 +1525,44 @@ def check_dates(spark, d):
     )
 
 
-@query(
-    "check_bulk_close",
-    sql(
-        """SELECT service_name, comm_name, rows, strftime(day, '%Y-%m-%d') AS closed_day, n AS closed_that_day,
+BULK = """SELECT service_name, comm_name, rows, strftime(day, '%Y-%m-%d') AS closed_day, n AS closed_that_day,
         round(n / rows::DOUBLE, 3) AS share, round(mean, 1) AS mean_days_to_close FROM (
           SELECT *, row_number() OVER (PARTITION BY service_name, comm_name ORDER BY n DESC, day) AS rn FROM (
             SELECT service_name, comm_name, closed_date::DATE AS day, count(*) AS n,
-            sum(count(*)) OVER g::BIGINT AS rows, sum(sum(days)) OVER g / sum(count(*)) OVER g AS mean
-            FROM aged WHERE days >= 0 GROUP BY 1, 2, 3 WINDOW g AS (PARTITION BY service_name, comm_name)))
-        WHERE rn = 1 AND rows >= 8 AND n / rows::DOUBLE >= 0.1::DOUBLE AND n >= 2""",
+            CAST(sum(count(*)) OVER g AS BIGINT) AS rows, sum(sum(days)) OVER g / sum(count(*)) OVER g AS mean
+            FROM aged WHERE days >= 0 AND service_name IS NOT NULL AND comm_name IS NOT NULL GROUP BY 1, 2, 3
+            WINDOW g AS (PARTITION BY service_name, comm_name)))
+        WHERE rn = 1 AND rows >= 8 AND n / rows::DOUBLE >= 0.1::DOUBLE AND n >= 2"""
+STALE = """SELECT service_name, strftime(s.day, '%Y-%m-%d') AS closed_day, count(*) AS tickets,
+        count(DISTINCT comm_name) AS communities, round(quantile_cont(days, 0.5::DOUBLE), 1) AS median_age_days
+        FROM stale s JOIN pdays p USING (service_name, day) GROUP BY 1, s.day"""
+OUTLIERS = """SELECT service_name, comm_name, n AS tickets, round(mean, 1) AS mean_days_to_close, round(med, 1) AS category_median_days FROM
+        (SELECT *, quantile_cont(mean, 0.5::DOUBLE) OVER (PARTITION BY service_name) AS med FROM
+          (SELECT service_name, comm_name, avg(days) AS mean, count(*) AS n FROM aged WHERE days >= 0 AND service_name IS NOT NULL
+           AND comm_name IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 8))
+        WHERE mean >= 1.2::DOUBLE * med AND mean - med >= 5"""
+FOUND = f"""SELECT 'bulk_close' AS name, service_name, comm_name, closed_day, closed_that_day AS tickets FROM ({BULK})
+        UNION ALL SELECT 'stale_bulk_close', service_name, NULL, closed_day, tickets FROM ({STALE})
+        UNION ALL SELECT 'group_outliers', service_name, comm_name, NULL, tickets FROM ({OUTLIERS})"""
+NULL_SHARE = "avg(CASE WHEN {0} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+CHECKS = f"""SELECT 'schema' AS name, 'fail' AS severity, true AS passed, count(*)::BIGINT AS seen FROM requests
+        UNION ALL SELECT 'row_count', 'fail', count(*) >= 100, count(*) FROM requests
+        UNION ALL SELECT 'unique_ids', 'fail', count(*) = count(DISTINCT service_request_id), count(*) - count(DISTINCT service_request_id) FROM requests
+        UNION ALL SELECT 'null_rates', 'fail', {NULL_SHARE.format('requested_date')} <= 0 AND {NULL_SHARE.format('service_name')} <= 0.001::DOUBLE
+          AND {NULL_SHARE.format('agency_responsible')} <= 0.01::DOUBLE AND {NULL_SHARE.format('source')} <= 0.01::DOUBLE
+          AND {NULL_SHARE.format('comm_name')} <= 0.1::DOUBLE, NULL FROM requests
+        UNION ALL SELECT 'dates', 'fail', {NULL_SHARE.format('requested_date')} < 2 AND
+          sum(CASE WHEN closed_date < requested_date THEN 1 ELSE 0 END) / count(*)::DOUBLE <= 0.005::DOUBLE, NULL FROM requests
+        UNION ALL SELECT k, 'warn', count(name) = 0, coalesce(sum(tickets), 0)::BIGINT FROM
+          (VALUES ('bulk_close'), ('stale_bulk_close'), ('group_outliers')) v(k) LEFT JOIN ({FOUND}) ON name = k GROUP BY 1"""
+
+
+@query(
+    "check_bulk_close",
+    sql(
+        BULK,
         "aged",
-    ).replace("sum(count(*)) OVER g::BIGINT", "CAST(sum(count(*)) OVER g AS BIGINT)"),
+    ),
 )
 def check_bulk_close(spark, d):
     return quality.bulk_closes(adapter.requests(spark, d), adapter.GATE)
@@ -1504,9 +1576,7 @@ def stale_close_mask(spark, d):
 @query(
     "check_stale_bulk_close",
     sql(
-        """SELECT service_name, strftime(s.day, '%Y-%m-%d') AS closed_day, count(*) AS tickets,
-        count(DISTINCT comm_name) AS communities, round(quantile_cont(days, 0.5::DOUBLE), 1) AS median_age_days
-        FROM stale s JOIN pdays p USING (service_name, day) GROUP BY 1, s.day""",
+        STALE,
         "stale", "pdays",
     ),
 )
@@ -1517,10 +1587,7 @@ def check_stale_bulk_close(spark, d):
 @query(
     "check_group_outliers",
     sql(
-        """SELECT service_name, comm_name, round(mean, 1) AS mean_days_to_close, round(med, 1) AS category_median_days FROM
-        (SELECT *, quantile_cont(mean, 0.5::DOUBLE) OVER (PARTITION BY service_name) AS med FROM
-          (SELECT service_name, comm_name, avg(days) AS mean FROM aged WHERE days >= 0 GROUP BY 1, 2 HAVING count(*) >= 8))
-        WHERE mean >= 1.2::DOUBLE * med AND mean - med >= 5""",
+        OUTLIERS,
         "aged",
     ),
 )
@@ -1528,11 +1595,38 @@ def check_group_outliers(spark, d):
     return quality.group_outliers(adapter.requests(spark, d), adapter.GATE)
 
 
-@query("validation_report")
+@query("validation_report", sql(CHECKS, "stale", "pdays"))
 def validation_report(spark, d):
-    rows = adapter.requests(spark, d)
-    checks = quality.validate(rows, asof_of(spark, d), adapter.GATE)
-    return checks.select("name", "severity", "passed", "detail")
+    """Every check with its verdict and its first figure: rows, duplicates, or tickets in all."""
+    checks = quality.validate(adapter.requests(spark, d), asof_of(spark, d), adapter.GATE)
+    seen = F.coalesce(*[F.get_json_object("observed", f"$.{c}") for c in ("rows", "duplicates", "tickets")])
+    return checks.select("name", "severity", "passed", seen.cast("long").alias("seen"))
+
+
+@query("validation_findings", sql(FOUND, "stale", "pdays"))
+def validation_findings(spark, d):
+    found = quality.examine(adapter.requests(spark, d), asof_of(spark, d), adapter.GATE)[1]
+    return found.select("name", "service_name", "comm_name", "closed_day", "tickets")
+
+
+@query(
+    "validation_verdict",
+    sql(
+        f"""SELECT strftime(any_value(taken), '%Y-%m-%d %H:%M:%S') AS "asof", false AS strict, bool_and(passed OR severity = 'warn') AS passed,
+        coalesce(string_agg(name, ',' ORDER BY name) FILTER (NOT passed AND severity = 'fail'), '') AS failed,
+        coalesce(string_agg(name, ',' ORDER BY name) FILTER (NOT passed AND severity = 'warn'), '') AS warnings,
+        max(seen) FILTER (name = 'schema') AS rows FROM ({CHECKS}), bounds""",
+        "stale", "pdays", "bounds",
+    ),
+)
+def validation_verdict(spark, d):
+    """Two gated runs; the second is held against the row count that the first one wrote."""
+    rows, asof, path = adapter.requests(spark, d), asof_of(spark, d), new_path(spark, "gate")
+    quality.run_gate(rows, asof, path=f"{path}/first", settings=adapter.GATE)
+    before = quality.previous_rows(spark, f"{path}/*/report")
+    quality.run_gate(rows, asof, path=f"{path}/second", settings=adapter.GATE, baseline_rows=before)
+    shape = "asof string, strict boolean, passed boolean, failed string, warnings string, rows long"
+    return spark.read.schema(shape).json(f"{path}/second/report")
 
 
 # --- model and metrics ----------------------------------------------------------------
@@ -1834,14 +1928,21 @@ def grade_post_hoc(spark, d):
 # --- monitoring -----------------------------------------------------------------------
 
 
-@query("drift_baseline")
+@query(
+    "drift_baseline",
+    sql(
+        """SELECT CASE WHEN split_part(l.service_name, ' - ', 1) IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+        THEN split_part(l.service_name, ' - ', 1) ELSE 'Other' END AS department, count(*) AS n,
+        round(avg(r.n), 6) AS backlog FROM train_recent l JOIN roll_train r ON r.id = l.service_request_id GROUP BY 1""",
+        "train_recent", "roll_train",
+    ),
+)
 def drift_baseline(spark, d):
     rows = adapter.requests(spark, d)
     out = drift.baseline_table(
-        built(spark, d), rows, adapter.communities(spark, d), adapter.holidays(spark, d), sample=1000,
-        known=DEPARTMENTS,
+        built(spark, d), rows, adapter.communities(spark, d), adapter.holidays(spark, d), known=DEPARTMENTS,
     )
-    return out.groupBy("department").agg(F.count(F.lit(1)).alias("n"), F.avg("cat_open_30d").alias("backlog"))
+    return out.groupBy("department").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("cat_open_30d"), 6).alias("backlog"))
 
 
 @query(
@@ -1862,9 +1963,22 @@ def drift_intake(spark, d):
     return matrix_out(out).join(out.select(ID, "department"), ID)
 
 
-@query("inject_drift")
+INJECTED = """SELECT department, count(*) AS n FROM (
+    SELECT '1-URGENT' AS department FROM range((SELECT round_even(0.4::DOUBLE * count(*), 0)::BIGINT FROM requests))
+    UNION ALL SELECT * FROM (SELECT CASE WHEN split_part(service_name, ' - ', 1) IN ('2-HIGH', '3-MEDIUM') THEN split_part(service_name, ' - ', 1)
+      ELSE 'Other' END FROM requests WHERE NOT coalesce(contains(lower(service_name), 'urgent'), false)
+      ORDER BY substr(md5('7:' || service_request_id), 1, 13)
+      LIMIT (SELECT count(*) - round_even(0.4::DOUBLE * count(*), 0)::BIGINT FROM requests))) GROUP BY 1"""
+
+
+@query("inject_drift", sql(INJECTED, "requests"))
 def inject_drift(spark, d):
-    out = drift.inject(adapter.requests(spark, d), "urgent", 0.4)
+    """Urgent requests raised to two fifths; a share below the present one is refused."""
+    rows = adapter.requests(spark, d)
+    try:
+        drift.inject(rows, "urgent", 0.01)
+    except ValueError:
+        out = drift.inject(rows, "urgent", 0.4)
     return out.groupBy(department("service_name", DEPARTMENTS).alias("department")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -2045,11 +2159,11 @@ def alert_lines(spark, d):
 @query(
     "community_oe",
     sql(
-        """SELECT comm_code, round(sum(breach) / sum(e), 6) AS value, count(*) AS n,
-        CAST(sum(breach) / sum(e) > 0.85::DOUBLE AS BIGINT) + CAST(sum(breach) / sum(e) > 0.95::DOUBLE AS BIGINT)
-        + CAST(sum(breach) / sum(e) > 1.05::DOUBLE AS BIGINT) + CAST(sum(breach) / sum(e) > 1.15::DOUBLE AS BIGINT) AS class
-        FROM (SELECT *, avg(breach) OVER (PARTITION BY month, service_name) AS e FROM settled)
-        GROUP BY 1 HAVING count(*) >= 20""",
+        """SELECT comm_code, round(v, 6) AS value, n,
+        CAST(v > 0.85::DOUBLE AS BIGINT) + CAST(v > 0.95::DOUBLE AS BIGINT)
+        + CAST(v > 1.05::DOUBLE AS BIGINT) + CAST(v > 1.15::DOUBLE AS BIGINT) AS class
+        FROM (SELECT comm_code, avg(breach) / nullif(avg(e), 0) AS v, count(*) AS n FROM (SELECT *, CASE WHEN service_name
+          IS NOT NULL THEN avg(breach) OVER (PARTITION BY month, service_name) END AS e FROM settled) GROUP BY 1) WHERE n >= 20""",
         "settled",
     ),
 )

@@ -101,5 +101,22 @@ def test_the_report_is_written_before_the_gate_raises(clean, spark, tmp_path):
     out = str(tmp_path / "validation")
     with pytest.raises(quality.DataValidationError, match="row_count"):
         quality.run_gate(clean.limit(50), ASOF, path=out, settings=GATE)
-    saved = spark.read.json(out)
+    saved = spark.read.json(f"{out}/checks")
     assert saved.where("name = 'row_count' AND NOT passed").count() == 1
+    verdict = spark.read.json(f"{out}/report").first()
+    assert not verdict["passed"] and verdict["failed"] == "row_count" and verdict["rows"] == 50
+    assert quality.previous_rows(spark, f"{out}/report") == 50
+
+
+def test_every_finding_is_listed(clean, spark):
+    """Eight backfilled communities: the check names five and counts the rest, the table has all."""
+    rows = [
+        (f"{r[0]}-{k}", *r[1:6], f"BACKFILLED {k}", *r[7:]) for k in range(8) for r in backfill()
+    ]
+    checks, found = quality.examine(clean.unionByName(spark.createDataFrame(rows, SHAPE)), ASOF, GATE)
+    named = {r["comm_name"] for r in found.where("name = 'bulk_close'").collect()}
+    assert {f"BACKFILLED {k}" for k in range(8)} <= named
+    bulk = checks.where("name = 'bulk_close'").first()
+    seen = json.loads(bulk["observed"])
+    assert seen["found"] == len(named) and f"and {len(named) - 5} more" in bulk["detail"]
+    assert seen["tickets"] == found.where("name = 'bulk_close'").agg(F.sum("tickets")).first()[0]

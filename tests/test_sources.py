@@ -14,7 +14,7 @@ def land(spark, base, asof, n):
         for i in range(n)
     ]
     df = spark.createDataFrame(rows, "service_request_id string, requested_date string, closed_date string, service_name string, address string")
-    return raw_zone.pull_snapshot(df, base, asof, resource="requests")
+    return raw_zone.pull_snapshot(df, base, asof, resource="requests", pulled_at=f"{asof}T06:00:00+00:00")
 
 
 def test_a_rebuild_replaces_and_replay_goes_back(spark, tmp_path):
