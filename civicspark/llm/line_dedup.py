@@ -6,31 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.columns import SPACES, fresh, lower_ascii, whole
+from civicspark.session import materialize
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    body = whole(text)
-    return docs.select(F.col(doc_id).alias("id"), F.xxhash64(body).alias("body"), F.split(body, "\n", -1).alias("lines"))
-
+def line_keys(docs: DataFrame, min_chars: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per line: the document's id and digest, the position, and the digest of the
+    normalised line; lines shorter than ``min_chars`` are left out.
 
-def _keys(lines: DataFrame, min_chars: int) -> DataFrame:
-    """One row per line: the document, the position, and the digest of the normalised line."""
-    key = F.btrim(lower_ascii(F.col("line")), F.lit(SPACES))
-    return (
-        lines.select("id", "body", F.posexplode("lines").alias("pos", "line"))
-        .withColumn("line", key)
-        .filter(F.char_length("line") >= min_chars)
-        .select("id", "body", "pos", F.unhex(F.md5("line")).alias("key"))
-    )
+    Lines are normalised inside the array, so that each is normalised once and not again by the
+    filter and the digest. Both readers of the table are joins or sums by key, so it is written.
+    """
+    body = whole(text)
+    lines = F.transform(F.split(lower_ascii(body), "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)))
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(body).alias("body"), F.posexplode(lines).alias("pos", "line"))
+    return materialize(rows.filter(F.char_length("line") >= min_chars).select("id", "body", "pos", F.unhex(F.md5("line")).alias("key")), "lines")
 
 
-def common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def common_lines(lines: DataFrame, min_docs: int = 10) -> DataFrame:
     """The digests of lines found in at least ``min_docs`` distinct documents: key, n_docs.
 
     A line counts once for each document, so the (line, document) pairs are made distinct before
     they are counted; a line of a third of all documents is counted by many tasks.
     """
-    found = _keys(_lines(docs, doc_id, text), min_chars).select("key", "id").distinct()
+    found = lines.select("key", "id").distinct()
     return found.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
 
 
@@ -45,13 +43,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, doc_id:
     Only digests and positions are shuffled by line; a text moves once, to meet its positions.
     Columns named n_lines and n_dropped in ``docs`` are replaced.
     """
-    common = common_lines(docs, min_docs, min_chars, doc_id, text).select("key")
-    dropped = (
-        _keys(_lines(docs, doc_id, text), min_chars)
-        .join(common, "key", "left_semi")
-        .groupBy("id", "body")
-        .agg(F.collect_set("pos").alias("gone"))
-    )
+    keys = line_keys(docs, min_chars, doc_id, text)
+    # Written, so that the join has a shuffle on both sides and the rows of a very common line are split.
+    common = materialize(common_lines(keys, min_docs).select("key"), "common_lines")
+    dropped = keys.join(common, "key", "left_semi").groupBy("id", "body").agg(F.collect_set("pos").alias("gone"))
     p = fresh(docs)
     dropped = dropped.select(*(F.col(c).alias(p + c) for c in dropped.columns))
     rest = docs.select(*(c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")))
