@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
-from civicspark.session import build_session
+from civicspark.session import build_session, release
 from civicspark.testbed import adapter
 from civicspark.testbed.queries import QUERIES
 
@@ -37,6 +38,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -60,6 +62,7 @@ def main() -> None:
             }
         )
     )
+    release(spark)
     spark.stop()
 
 

@@ -12,10 +12,11 @@ from civicspark.functions.dates import DAY_MICROS
 from civicspark.session import materialize
 
 NO_KEY = "__na__"  # a null key is a key of its own
-# Slices that keep both windows of a hot key bounded: a week holds 604,800 whole seconds and
-# a decade 520 weeks; finer clocks get slices of an hour.
+# Slices of a key's time line: a week holds 604,800 whole seconds and a decade 520 weeks; finer
+# clocks get slices of an hour. A slice with more moments than SLICE_ROWS is cut further.
 SECONDS_SLICE = 7 * DAY_MICROS
 MICROS_SLICE = DAY_MICROS // 24
+SLICE_ROWS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -89,11 +90,7 @@ def _facts(source: Events, asks) -> DataFrame:
 
 def _probes(points: DataFrame, asks) -> DataFrame:
     """Per question and distinct (key, time): the moment itself (mark 0) and each span's start."""
-    wanted = ", ".join(
-        f"struct({q} AS _q, {_joined(a.keys)} AS _k, {_clock(a.events.unit, '_t')} AS _own)"
-        for q, a in enumerate(asks)
-    )
-    moments = points.selectExpr(f"inline(array({wanted}))").distinct()
+    moments = points.selectExpr(f"inline(array({_wanted(asks)}))").distinct()
     marks = " ".join(
         f"WHEN {q} THEN array("
         + ", ".join(
@@ -106,11 +103,25 @@ def _probes(points: DataFrame, asks) -> DataFrame:
     return moments.selectExpr("_q", "_k", "_own", f"inline(CASE _q {marks} END)")
 
 
-def _cut(asks) -> Column:
-    """The slice of a moment; never null, see ordered._slice."""
+def _sliced(line: DataFrame, asks) -> DataFrame:
+    """Adds ``_cut``, the start of the slice that a moment is in.
+
+    A slice that holds more than ``SLICE_ROWS`` moments, as in a burst, is cut in 64, and so on
+    down to a microsecond; the counts decide, so no (key, slice) grows with the data. The place
+    of a moment is a function of its time alone.
+    """
     coarse = ", ".join(str(q) for q, a in enumerate(asks) if a.events.unit == "seconds") or "-1"
-    width = f"CASE WHEN _q IN ({coarse}) THEN {SECONDS_SLICE}D ELSE {MICROS_SLICE}D END"
-    return F.expr(f"coalesce(floor(_at / {width}), 0L)")
+    width = f"CASE WHEN _q IN ({coarse}) THEN {SECONDS_SLICE}L ELSE {MICROS_SLICE}L END"
+    place = F.expr("coalesce(_at - pmod(_at, _width), 0L)")  # never null, see ordered._slice
+    cut = line.withColumn("_width", F.expr(width)).withColumn("_cut", place)
+    here = ["_q", "_k", "_cut", "_width"]
+    while True:
+        dense = cut.groupBy(*here).agg(F.count(F.lit(1)).alias("_m")).where((F.col("_m") > SLICE_ROWS) & (F.col("_width") > 1))
+        dense = materialize(dense.select(*here, F.lit(True).alias("_dense")), "dense-slices")
+        if not dense.limit(1).count():
+            return cut.drop("_width")
+        finer = F.when(F.col("_dense"), F.greatest(F.expr("_width div 64"), F.lit(1))).otherwise(F.col("_width"))
+        cut = cut.join(dense, here, "left").withColumn("_width", finer).withColumn("_cut", place).drop("_dense")
 
 
 def _totals(facts: DataFrame, probes: DataFrame, asks, closed: str) -> DataFrame:
@@ -119,7 +130,8 @@ def _totals(facts: DataFrame, probes: DataFrame, asks, closed: str) -> DataFrame
         "_q", "_k", "_at", "n", "s", "CAST(NULL AS bigint) AS _own", "CAST(NULL AS int) AS _mark"
     ).unionByName(
         probes.selectExpr("_q", "_k", "_at", "0L AS n", "0D AS s", "_own", "_mark")
-    ).withColumn("_cut", _cut(asks))
+    )
+    line = _sliced(materialize(line, "moments"), asks)
     here = ["_q", "_k", "_cut"]
     inside = (
         Window.partitionBy(*here)
@@ -152,15 +164,22 @@ def _totals(facts: DataFrame, probes: DataFrame, asks, closed: str) -> DataFrame
     )
 
 
+def _wanted(asks) -> str:
+    """Each question about a point: its number, key and moment, as an array of structs."""
+    return ", ".join(
+        f"struct({q} AS _q, {_joined(a.keys)} AS _k, {_clock(a.events.unit, '_t')} AS _own)"
+        for q, a in enumerate(asks)
+    )
+
+
 def range_agg_many(rows: DataFrame, row_time: str, asks, closed: str = "left") -> DataFrame:
     """``rows`` plus, per question and span, how many same-key events came before the row.
 
     ``closed="left"`` counts ``[t - d, t)``, ``closed="right"`` counts ``(t - d, t]``. Every
     question runs through one pass over (question, key, slice), so the cost grows with
-    neither the window length nor the number of plans. Answers are looked up for the distinct
-    (keys, time) combinations and joined to the rows once: a wide row is shuffled at most
-    once whatever the number of questions. Several questions are written before they are
-    joined, so each join sees a true size.
+    neither the window length nor the number of plans. The distinct (keys, time) combinations
+    of the rows ask all their questions at once: one join on (question, key, time), one
+    grouping back, and one join to the rows, so a wide row is shuffled at most once.
     """
     keys = list(dict.fromkeys(k for a in asks for k in a.keys))
     names = _names(keys)
@@ -175,20 +194,15 @@ def range_agg_many(rows: DataFrame, row_time: str, asks, closed: str = "left") -
         [_facts(e, [(q, a) for q, a in numbered if a.events is e]) for e in sources.values()],
     )
     totals = _totals(facts, _probes(points, asks), asks, closed)
-    if len(asks) > 1:
-        totals = materialize(totals, "window-totals", by=["_q"])
-    answers = points
-    for q, a in numbered:
-        own = totals.where(F.col("_q") == q).selectExpr(
-            "_k", "_own",
-            *[f"_n0 - _n{i} AS {s.name}_n" for i, s in enumerate(a.spans, 1)],
-            *[f"_s0 - _s{i} AS {s.name}_sum" for i, s in enumerate(a.spans, 1)],
-        )
-        answers = (
-            answers.selectExpr("*", f"{_joined(a.keys)} AS _k", f"{_clock(a.events.unit, '_t')} AS _own")
-            .join(own, ["_k", "_own"], "left")
-            .drop("_k", "_own")
-        )
+    met = points.selectExpr(*names, "_t", f"inline(array({_wanted(asks)}))").join(totals, ["_q", "_k", "_own"])
+    answers = met.groupBy(*names, "_t").agg(
+        *[
+            F.expr(f"max({c}0 - {c}{i}) FILTER (WHERE _q = {q})").alias(f"{s.name}{end}")
+            for q, a in numbered
+            for i, s in enumerate(a.spans, 1)
+            for c, end in (("_n", "_n"), ("_s", "_sum"))
+        ]
+    )
     return asked.join(answers, [*names, "_t"], "left").drop(*names, "_t")
 
 

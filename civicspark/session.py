@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,22 +33,45 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    A session without the setting uses its warehouse, which all executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="civicspark-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir()
+    if not named:
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        named = spark.sparkContext.getCheckpointDir()
+    return named
+
+
+_scratch: dict = {}  # folder -> how to delete it
+
+
+def _own_folder(spark: SparkSession) -> str:
+    folder = f"{shared_dir(spark)}/civicspark/{spark.sparkContext.applicationId}"
+    if folder not in _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        _scratch[folder] = lambda: files.delete(path, True)
+    return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/civicspark/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every intermediate table of this session; frames that read them are done with."""
+    delete = _scratch.pop(_own_folder(spark), None)
+    if delete:
+        delete()
+
+
+@atexit.register
+def _release_all() -> None:
+    for delete in _scratch.values():
+        with contextlib.suppress(Exception):  # the JVM may have ended before
+            delete()
 
 
 def materialize(df: DataFrame, name: str = "table", by=()) -> DataFrame:
@@ -56,7 +80,7 @@ def materialize(df: DataFrame, name: str = "table", by=()) -> DataFrame:
     It cuts the lineage, survives lost executors, and gives Catalyst a true file size: a
     join against the result is broadcast only while it stays under
     ``spark.sql.autoBroadcastJoinThreshold`` and is shuffled beyond it. ``by`` lays it out in
-    folders a filter can skip.
+    folders a filter can skip. The table lives until :func:`release` or the end of the program.
     """
     path = new_path(df.sparkSession, name)
     df.write.partitionBy(*by).parquet(path)

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from civicspark.session import build_session  # noqa: E402
+from civicspark.session import build_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
