@@ -169,8 +169,8 @@ def learn(
     """A scorer from labelled documents.
 
     ``labels`` holds the rows to learn from; rows with a null id or label, and ids without a
-    document, are left out. At most ``rows`` of them are used, the first by a digest of the id: the
-    documented bound that lets their ids be broadcast. Grams are counted by Spark in two halves;
+    document, are left out. About ``rows`` of them are used, those with a digest of the id below a
+    cut: the documented bound that lets their ids be broadcast. Grams are counted by Spark in two halves;
     each half's lexicon is measured on the other, so the curve is fitted to figures that no label
     has leaked into. The final lexicon of at most ``size`` patterns uses both. Without labels of
     both kinds the score is one constant, the share of toxic rows.
@@ -178,7 +178,11 @@ def learn(
     key = F.col(doc_id).cast("string")
     own = labels.select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic"), F.md5(key).alias("order")).dropna().dropDuplicates(["id"])
     own = own.withColumn("half", (F.crc32(F.col("order").cast("binary")) % 2).cast("int"))
-    picked = materialize(own.orderBy("order", "id").limit(rows), "picked")
+    own = materialize(own, "own_labels")
+    n = own.count()
+    if n > rows:
+        own = own.filter(F.conv(F.substring("order", 1, 12), 16, 10).cast("double") / float(16**12) < rows / n)
+    picked = materialize(own, "picked")
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")
     texts = materialize(texts.select("text", "toxic", "half"), "labelled")
     seen = {(r["toxic"] > 0, r["half"]): r["count"] for r in texts.groupBy("toxic", "half").count().collect()}
