@@ -226,12 +226,14 @@ def _brute(queries: np.ndarray, threshold: float):
 
 
 def audit(classes: DataFrame, compared: DataFrame, threshold: float, sample: int = AUDITED) -> float:
-    """The share of true links found, of ``sample`` vectors drawn by a hash of their number from those
-    with links and as many from the rest, each compared with all vectors."""
+    """The share of true links found, of about ``sample`` vectors drawn by a hash of their number from
+    those with links and as many from the rest, each compared with all vectors."""
     found = compared.groupBy("cid").agg(F.sum("links").alias("found"))
     both = classes.select("cid", "raw", "n").join(found, "cid", "left").withColumn("lone", F.coalesce("found", F.lit(0)) == 0)
-    order = F.xxhash64("cid", F.lit("audit"))
-    rows = [r for lone in (True, False) for r in both.filter(F.col("lone") == lone).orderBy(order).limit(sample).collect()]
+    both = materialize(both, "audited")
+    sizes = {r["lone"]: r["count"] for r in both.groupBy("lone").count().collect()}
+    drawn = F.pmod(F.xxhash64("cid", F.lit("audit")), F.lit(1 << 30)) < F.lit(float(sample << 30)) / F.when(F.col("lone"), sizes.get(True, 1)).otherwise(sizes.get(False, 1))
+    rows = both.filter(drawn).collect()
     if not rows:
         return 1.0
     queries = units(np.array([np.frombuffer(r["raw"]) for r in rows]))
