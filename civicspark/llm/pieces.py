@@ -19,8 +19,10 @@ from civicspark.llm.words import slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: What stands for a space in a piece.
 SPACE = "▁"
-#: Segments whose pieces are kept, and the longest segment that is.
-KEPT, LONGEST = 1 << 18, 48
+#: Segments whose ids a task keeps, some 200 MB, and the longest segment that is kept.
+KEPT, LONGEST = 1 << 20, 48
+#: A rank behind all others.
+FAR = 1 << 40
 MASK = 2**64 - 1
 
 
@@ -46,32 +48,53 @@ class Pieces:
         self.whole = any(SPACE in x.lstrip(SPACE) for x in self.ids)
 
     def merge(self, segment: str, key: int, limit: int) -> bytes:
-        """The ids of one segment.
+        """The ids of one segment, four bytes each.
 
-        Candidate merges leave an agenda by score, leftmost first. A live one is skipped for good
-        if its keyed hash, of segment, piece and place, is below ``limit`` of 2**32.
+        Candidate merges leave an agenda by score, leftmost first. One is skipped for good if its
+        keyed hash, of segment, piece and place, is below ``limit`` of 2**32. The agenda of a
+        short segment is the list of its neighbours' ranks, that of a long one a heap.
         """
+        salt = xxhash.xxh64_intdigest(segment, key) | 1 if limit else 0
+        symbols = self._short(segment, salt, limit) if len(segment) <= LONGEST else self._long(segment, salt, limit)
+        ids = self.ids
+        try:
+            return array("i", [ids[x] for x in symbols]).tobytes()
+        except KeyError:
+            spelt = self.bytes
+            return array("i", [i for x in symbols for i in ([ids[x]] if x in ids else [spelt[b] for b in x.encode()])]).tobytes()
+
+    def _short(self, segment: str, salt: int, limit: int) -> list[str]:
+        symbols, rank = list(segment), self.ranks.get
+        ranks = [rank(x, FAR) for x in map(str.__add__, symbols, symbols[1:])]
+        places = list(range(len(symbols)))
+        while ranks and (due := min(ranks)) < FAR:
+            i = ranks.index(due)
+            if limit and (salt * (due * 65537 + places[i]) >> 32) & 0xFFFFFFFF < limit:
+                ranks[i] = FAR
+                continue
+            piece = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            del places[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(piece + symbols[i + 1], FAR)
+            if i:
+                ranks[i - 1] = rank(symbols[i - 1] + piece, FAR)
+        return symbols
+
+    def _long(self, segment: str, salt: int, limit: int) -> list[str]:
         symbols: list[str | None] = list(segment)
-        n = len(symbols)
+        n, rank = len(symbols), self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank = self.ranks.get
         # One number for score and place; a merge that no longer stands has another rank by then.
         agenda = [r * n + i for i in range(n - 1) if (r := rank(symbols[i] + symbols[i + 1])) is not None]
         heapify(agenda)
-        salt = xxhash.xxh64_intdigest(segment, key) if limit else 0
         while agenda:
             due, i = divmod(heappop(agenda), n)
             j = after[i]
             if symbols[i] is None or j >= n:
                 continue
             piece = symbols[i] + symbols[j]
-            if rank(piece) != due:
+            if rank(piece) != due or (limit and (salt * (due * 65537 + i) >> 32) & 0xFFFFFFFF < limit):
                 continue
-            if limit:
-                x = (salt ^ (due * 0x9E3779B97F4A7C15 + i * 0xC2B2AE3D27D4EB4F)) & MASK
-                x = ((x ^ (x >> 31)) * 0xBF58476D1CE4E5B9) & MASK
-                if x >> 32 < limit:
-                    continue
             symbols[i], symbols[j] = piece, None
             k = after[i] = after[j]
             if k < n:
@@ -81,50 +104,52 @@ class Pieces:
             h = before[i]
             if h >= 0 and (r := rank(symbols[h] + piece)) is not None:
                 heappush(agenda, r * n + h)
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol is not None:
-                i = self.ids.get(symbol)
-                out.extend([i] if i is not None else [self.bytes[b] for b in symbol.encode()])
-        return array("i", out).tobytes()
-
-    def encode(self, text: str, key: int = 0, limit: int = 0, kept: dict | None = None) -> bytes:
+        return [x for x in symbols if x is not None]
+
+    def encode(self, text: str, kept: Kept) -> bytes:
         """The ids of a text, four bytes each; an empty text has none."""
-        kept = {} if kept is None else kept
+        if len(kept) >= KEPT:
+            kept.clear()
         out: list[bytes] = []
         # A space sign written in the text itself is spelt in bytes, so that it isn't read as a space.
         for number, part in enumerate(text.split(SPACE)):
             if number:
-                out.append(np.array([self.bytes[b] for b in SPACE.encode()], np.int32).tobytes())
+                out.append(array("i", [self.bytes[b] for b in SPACE.encode()]).tobytes())
             part = (SPACE if number == 0 and text else "") + part.replace(" ", SPACE)
-            for segment in [part] if self.whole else self.cut.findall(part):
-                found = kept.get((segment, key))
-                if found is None:
-                    found = self.merge(segment, key, limit) if segment else b""
-                    if len(segment) <= LONGEST:
-                        if len(kept) >= KEPT:
-                            kept.clear()
-                        kept[(segment, key)] = found
-                out.append(found)
+            out += map(kept.__getitem__, [part] if self.whole else self.cut.findall(part))
         return b"".join(out)
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The text of a list of ids. Ids outside the vocabulary and control pieces are nothing."""
-        table, size = self.surface, len(self.surface)
-        raw = b"".join([table[i] for i in ids if 0 <= i < size])
+        if ids and not 0 <= min(ids) <= max(ids) < len(self.surface):
+            ids = [i for i in ids if 0 <= i < len(self.surface)]
+        raw = b"".join(map(self.surface.__getitem__, ids))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+class Kept(dict):
+    """The ids of segments met before; a new one is merged."""
+
+    def __init__(self, pieces: Pieces, key: int = 0, limit: int = 0):
+        super().__init__()
+        self.pieces, self.key, self.limit = pieces, key, limit
+
+    def __missing__(self, segment: str) -> bytes:
+        raw = self.pieces.merge(segment, self.key, self.limit)
+        if len(segment) <= LONGEST:
+            self[segment] = raw
+        return raw
+
+
 def _encode(proto, rate: float, seed: int, streams: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, kept, limit = Pieces(proto.value), {}, int(rate * 2**32)
+        pieces = Pieces(proto.value)
+        kept = [Kept(pieces, (seed * 0x9E3779B97F4A7C15 + i) & MASK, int(rate * 2**32)) for i in range(streams)]
         for batch in (part for whole in batches for part in slices(whole, "text")):
             ids, same = [], []
             for text, stream in zip(batch["text"].to_pylist(), batch["stream"].to_pylist()):
                 text = text or ""
-                key = (seed * 0x9E3779B97F4A7C15 + stream) & MASK
-                raw = pieces.encode(text, key, limit, kept)
-                ids.append(np.frombuffer(raw, np.int32))
+                ids.append(np.frombuffer(pieces.encode(text, kept[stream]), np.int32))
                 same.append(pieces.decode(ids[-1].tolist()) == text)
             ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
             lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids) if ids else [], pa.int32()))
