@@ -30,10 +30,12 @@ def distribution(df: DataFrame, keys, value, name: str = "value", extra=()) -> D
     )
 
 
-def _slice(order: str, width: float) -> Column:
+def _slice(order: str, width: float | str) -> Column:
+    # a name stands for a column of ``df``: each key brings a width that suits its own range
     # never null, so no branch of the plan gains a filter the other lacks and the exchange
     # below both of them is reused
-    return F.expr(f"coalesce(floor(`{order}` / {width!r}D), 0L)")
+    unit = f"`{width}`" if isinstance(width, str) else f"{width!r}D"
+    return F.expr(f"coalesce(floor(`{order}` / {unit}), 0L)")
 
 
 def _quoted(names) -> list[str]:
@@ -41,7 +43,7 @@ def _quoted(names) -> list[str]:
 
 
 def running_before(
-    df: DataFrame, keys, order: str, sums, *, width: float, prefix: str = "before_"
+    df: DataFrame, keys, order: str, sums, *, width: float | str, prefix: str = "before_"
 ) -> DataFrame:
     """Add, for each of ``sums``, its total over rows of the same keys with a smaller ``order``.
 

@@ -17,7 +17,6 @@ from civicspark.settings import DEPARTMENTS
 
 COLUMNS = FEATURE_SETS["challenger"]
 NUMERIC = tuple(c for c in COLUMNS if c not in CATEGORICAL)
-VALUE_WIDTH = 1.0 / 4096
 
 
 def intake_rows(raw: DataFrame, asof: int, days: int = 30) -> DataFrame:
@@ -84,66 +83,72 @@ def inject(df: DataFrame, pattern: str, share: float, row_id: str = "service_req
     return drawn.unionByName(sample_exactly(rest, n - n_hit, row_id, seed) if n > n_hit else rest.limit(0))
 
 
-def _long(df: DataFrame, columns, kind: str) -> DataFrame:
-    """One row per (column, value); the values of every column are then counted together."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns])
-    )
-    return df.select(pairs.alias("p")).select("p.*")
+def counted(df: DataFrame, numeric, categorical) -> DataFrame:
+    """``(column, kind, value, level, n)``: how often each number and each level of each column
+    occurs, in one pass. Written, for everything about a side of a comparison is arithmetic on it."""
+    none = {"value": F.lit(None).cast("double"), "level": F.lit(None).cast("string")}
 
+    def entry(c, kind, **own):
+        return F.struct(
+            F.lit(c).alias("column"), F.lit(kind).alias("kind"), *[v.alias(k) for k, v in {**none, **own}.items()]
+        )
 
-def _counted(df: DataFrame, columns, kind: str) -> DataFrame:
-    return _long(df, columns, kind).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    entries = [entry(c, "numeric", value=F.col(c).cast("double")) for c in numeric]
+    entries += [entry(c, "string", level=F.col(c).cast("string")) for c in categorical]
+    keys = ["column", "kind", "value", "level"]
+    rows = df.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+    return materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "counted")
 
 
 QUANTILES = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+SLICES = 4096  # of each column's own range
+
 
+def _with_width(numbers: DataFrame) -> DataFrame:
+    """Adds ``_width``: a slice of the column's range, so that no column's scale matters."""
+    span = numbers.groupBy("column").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    width = F.coalesce(F.nullif((F.col("_hi") - F.col("_lo")) / SLICES, F.lit(0.0)), F.lit(1.0))
+    return numbers.join(materialize(span.select("column", width.alias("_width")), "widths"), "column")
 
-def profile(df: DataFrame, numeric, categorical, width: float = VALUE_WIDTH) -> DataFrame:
+
+def profile(df: DataFrame, numeric, categorical) -> DataFrame:
     """Per column: rows, completeness, distinct values, and for numbers range, moments, quantiles."""
-    numbers = _counted(df, numeric, "double")
-    present = numbers.where(F.col("value").isNotNull())
-    spread = quantiles(present, ["column"], QUANTILES, width=width).drop("rows")
+    table = counted(df, numeric, categorical)
+    present = _with_width(table.where(F.col("value").isNotNull()).select("column", "value", "n"))
+    spread = quantiles(present, ["column"], QUANTILES, width="_width").drop("rows")
+    there = F.col("value").isNotNull() | F.col("level").isNotNull()
     mean = F.sum(F.col("n") * F.col("value")) / F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
-
-    def counts(table, *extra):
-        return table.groupBy("column").agg(
+    columns = materialize(
+        table.groupBy("column", "kind").agg(
             F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
-            F.count("value").alias("distinct_values"),
-            *extra,
-        )
-
-    numbers = counts(
-        numbers, F.min("value").alias("min"), F.max("value").alias("max"), mean.alias("mean")
+            F.coalesce(F.sum(F.when(~there, F.col("n"))), F.lit(0)).alias("missing"),
+            F.count(F.when(there, 1)).alias("distinct_values"),
+            F.min("value").alias("min"), F.max("value").alias("max"), mean.alias("mean"),
+        ),
+        "columns",
     )
-    around = present.join(numbers.select("column", "mean"), "column").groupBy("column").agg(
+    around = present.join(columns.select("column", "mean"), "column").groupBy("column").agg(
         F.sqrt(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)) / F.sum("n")).alias("std")
     )
-    numbers = (
-        numbers.join(around, "column", "left").join(spread, "column", "left")
-        .withColumn("kind", F.lit("numeric"))
-    )
-    strings = counts(_counted(df, categorical, "string")).withColumn("kind", F.lit("string"))
-    return numbers.unionByName(strings, allowMissingColumns=True).withColumn(
-        "completeness", 1 - F.col("missing") / F.col("rows")
+    return (
+        columns.join(around, "column", "left").join(spread, "column", "left")
+        .withColumn("completeness", 1 - F.col("missing") / F.col("rows"))
     )
 
 
-def shares(df: DataFrame, columns) -> DataFrame:
+def shares(table: DataFrame) -> DataFrame:
     """Share of each level of each string column, missing values left out."""
-    counted = _counted(df, columns, "string").where(F.col("value").isNotNull())
-    total = counted.groupBy("column").agg(F.sum("n").alias("_all"))
-    return counted.join(total, "column").select(
-        "column", "value", (F.col("n") / F.col("_all")).alias("share")
-    )
+    levels = table.where(F.col("level").isNotNull()).select("column", "level", "n")
+    total = levels.groupBy("column").agg(F.sum("n").alias("_all"))
+    return levels.join(total, "column").select("column", "level", (F.col("n") / F.col("_all")).alias("share"))
 
 
-def categorical_distance(baseline: DataFrame, check: DataFrame, columns) -> DataFrame:
-    """Per column: the largest change of any level's share, and how much mass is unseen."""
-    a = shares(baseline, columns).withColumnRenamed("share", "_a")
-    b = shares(check, columns).withColumnRenamed("share", "_b")
-    both = a.join(b, ["column", "value"], "full")
+def categorical_distance(baseline: DataFrame, check: DataFrame) -> DataFrame:
+    """Per column: the largest change of any level's share, and how much mass is unseen. Both
+    sides are :func:`counted` tables."""
+    a = shares(baseline).withColumnRenamed("share", "_a")
+    b = shares(check).withColumnRenamed("share", "_b")
+    both = a.join(b, ["column", "level"], "full")
     gap = F.abs(F.coalesce("_a", F.lit(0.0)) - F.coalesce("_b", F.lit(0.0)))
     return both.groupBy("column").agg(
         F.max(gap).alias("distance"),
@@ -151,11 +156,12 @@ def categorical_distance(baseline: DataFrame, check: DataFrame, columns) -> Data
     )
 
 
-def numeric_distance(baseline: DataFrame, check: DataFrame, columns, width: float = VALUE_WIDTH) -> DataFrame:
-    """Per column: the largest gap between the two cumulative distributions."""
+def numeric_distance(baseline: DataFrame, check: DataFrame) -> DataFrame:
+    """Per column: the largest gap between the two cumulative distributions of :func:`counted`
+    tables."""
 
-    def side(df, a, b):
-        return _counted(df, columns, "double").where(F.col("value").isNotNull()).select(
+    def side(table, a, b):
+        return table.where(F.col("value").isNotNull()).select(
             "column", "value", (F.col("n") * a).alias("na"), (F.col("n") * b).alias("nb")
         )
 
@@ -165,7 +171,7 @@ def numeric_distance(baseline: DataFrame, check: DataFrame, columns, width: floa
         .agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
     )
     totals = both.groupBy("column").agg(F.sum("na").alias("_ta"), F.sum("nb").alias("_tb"))
-    ran = running_before(both, ["column"], "value", ["na", "nb"], width=width).join(totals, "column")
+    ran = running_before(_with_width(both), ["column"], "value", ["na", "nb"], width="_width").join(totals, "column")
     gap = F.abs(
         (F.col("before_na") + F.col("na")) / F.col("_ta") - (F.col("before_nb") + F.col("nb")) / F.col("_tb")
     )
@@ -179,24 +185,23 @@ def violations(
     completeness_drop: float = 0.0,
 ) -> DataFrame:
     """``(column, check_type, observed)`` for every constraint the check breaks."""
-    columns = (*numeric, *categorical)
+    a, b = counted(baseline, numeric, categorical), counted(check, numeric, categorical)
 
-    def completeness(df, name):
-        return _long(df, columns, "string").groupBy("column").agg(
-            F.avg(F.col("value").isNotNull().cast("double")).alias(name)
-        )
+    def completeness(table, name):
+        there = F.col("value").isNotNull() | F.col("level").isNotNull()
+        return table.groupBy("column").agg((F.sum(F.when(there, F.col("n")).otherwise(0)) / F.sum("n")).alias(name))
 
     drop = (
-        completeness(baseline, "_a").join(completeness(check, "_b"), "column")
+        completeness(a, "_a").join(completeness(b, "_b"), "column")
         .where(F.col("_b") < F.col("_a") - completeness_drop)
         .select("column", F.lit("completeness_check").alias("check_type"), F.col("_b").alias("observed"))
     )
-    levels = categorical_distance(baseline, check, categorical)
+    levels = categorical_distance(a, b)
     unseen = levels.where(F.col("unseen") > 0).select(
         "column", F.lit("categorical_values_check").alias("check_type"), F.col("unseen").alias("observed")
     )
     moved = levels.select("column", "distance").unionByName(
-        numeric_distance(baseline, check, numeric)
+        numeric_distance(a, b)
     ).where(F.col("distance") > threshold).select(
         "column", F.lit("baseline_drift_check").alias("check_type"), F.col("distance").alias("observed")
     )

@@ -300,6 +300,16 @@ def keyset_page(spark, d):
     return page.select(ID, stamp_text("requested_date"))
 
 
+@query(
+    "new_rows",
+    sql(f"SELECT service_request_id, {REQ} FROM requests WHERE service_request_id > '1300'", "requests"),
+)
+def new_rows(spark, d):
+    """Paging to the end, all pages at once."""
+    rows = raw_zone.new_rows(adapter.requests(spark, d), ID, "1300")
+    return rows.select(ID, stamp_text("requested_date"))
+
+
 @query(
     "write_scores",
     sql('SELECT run AS "asof", count(*) AS n, sum(CAST(flagged AS INT))::BIGINT AS flagged FROM scores GROUP BY 1', "scores"),
@@ -1202,6 +1212,33 @@ def scorecard_latest(spark, d):
     return card_out(scorecard.latest(card(spark, d)))
 
 
+@query(
+    "stored_scorecard",
+    sql("SELECT strftime(month, '%Y-%m-%d') AS month, series, nullif(key, '') AS key, round(value, 6) AS value, n::BIGINT AS n FROM card", "card"),
+)
+def stored_scorecard(spark, d):
+    """The scorecard as the CSV file it is published in, read back."""
+    path = new_path(adapter.prepare(spark), "scorecard")
+    tables.write_csv(card(spark, d), path)
+    shape = "month date, series string, key string, value double, n long, provisional boolean"
+    return card_out(spark.read.schema(shape).option("header", True).csv(path))
+
+
+@query(
+    "stored_summary",
+    sql(
+        """SELECT coalesce(sector, '*') AS sector, count(*) AS scored, sum(CAST(flagged AS INT))::BIGINT AS flagged
+        FROM scores WHERE run = '2000-01-01' GROUP BY ROLLUP (sector)""",
+        "scores",
+    ),
+)
+def stored_summary(spark, d):
+    """The score summary as the file beside the scores, read back."""
+    path = new_path(adapter.prepare(spark), "summary")
+    tables.write_summary(scoring.score_summary(adapter.scores(spark, d).where(F.col("asof") == "2000-01-01")), path)
+    return spark.read.schema("sector string, scored long, flagged long").json(path)
+
+
 @query(
     "risk_deciles",
     sql(
@@ -1633,11 +1670,18 @@ def validation_verdict(spark, d):
 
 # Durations here run to years, so a longer holdout is needed for late rows to appear in it.
 LONG = LabelSettings(window_years=6, holdout_years=3)
-TREES = {"maxIter": 5, "maxDepth": 4, "max_bins": 64}
 
 
 def fitted(spark, d, feature_set="challenger"):
-    """Labels, aligned test features with their label, and a small fitted model."""
+    """Labels, features with their label, and the model, fitted once per session with the
+    published parameters."""
+    key = (spark.sparkContext.applicationId, d, "model", feature_set)
+    if key not in adapter._built:
+        adapter._built[key] = fit(spark, d, feature_set)
+    return adapter._built[key]
+
+
+def fit(spark, d, feature_set):
     done = built(spark, d, settings=LONG)
     raw, comms, hol = adapter.requests(spark, d), adapter.communities(spark, d), adapter.holidays(spark, d)
     train = labels.recent(done.train, 2)
@@ -1647,7 +1691,7 @@ def fitted(spark, d, feature_set="challenger"):
             features.featurize(part, raw, done.thresholds, comms, hol, feature_set, carry=("breach", "comm_code"))
         )
     train_x, test_x = (adapter.materialize(p, "features") for p in parts)
-    return done, train_x, test_x, model.train(train_x, done.thresholds, feature_set, **TREES)
+    return done, train_x, test_x, model.train(train_x, done.thresholds, feature_set)
 
 
 @query("train_model")
@@ -1666,7 +1710,7 @@ def separability(spark, d):
         {"mon": F.month("requested_date").cast("double"), "dow": F.weekday("requested_date").cast("double")}
     )
     parts = [adapter.materialize(rows.where(F.col("split") == s), "separability") for s in ("train", "test")]
-    return model.separability(*parts, ["mon", "dow", "cat_30d"], trees=5)
+    return model.separability(*parts, ["mon", "dow", "cat_30d"])
 
 
 @query(
@@ -1711,14 +1755,14 @@ def top_decile(spark, d):
 
 @query("predict")
 def predict(spark, d):
-    _, _, test_x, m = fitted(spark, d, "baseline")
+    _, _, test_x, m = fitted(spark, d)
     return m.predict(test_x).select(ID, "breach", six("pred"))
 
 
 @query("save_load_model")
 def save_load_model(spark, d):
     """Save, load, rescore: the reloaded model must reproduce its own metrics."""
-    _, _, test_x, m = fitted(spark, d, "baseline")
+    _, _, test_x, m = fitted(spark, d)
     path = new_path(spark, "model")
     before = metrics.evaluate(m.predict(test_x))
     model.save(m, path, before)
@@ -1727,7 +1771,7 @@ def save_load_model(spark, d):
     shape = "metric string, value double"
     now = spark.createDataFrame([(k, float(v)) for k, v in after.items() if v is not None], shape)
     then = spark.createDataFrame([(k, float(v)) for k, v in saved.items() if v is not None], shape)
-    return metrics.metric_match(now, then, ("roc_auc", "pr_auc", "top_decile_lift"))
+    return metrics.require_match(now, then, ("roc_auc", "pr_auc", "top_decile_lift"))
 
 
 @query(
@@ -1750,7 +1794,7 @@ def metric_match(spark, d):
 
 @query("feature_importance")
 def feature_importance(spark, d):
-    m = fitted(spark, d, "baseline")[3]
+    m = fitted(spark, d)[3]
     return spark.createDataFrame(m.importance(), "feature string, share double")
 
 
@@ -1770,6 +1814,19 @@ GROUPS = f"""SELECT dimension, "group", rows, positives, flagged, hits, hits / n
     UNION ALL SELECT 'srg', srg, {GROUP_SQL.split('round(')[0].rstrip().rstrip(',')} FROM flagged GROUP BY 2)"""
 
 
+@query(
+    "load_predictions",
+    sql("SELECT comm_code, count(*) AS rows, sum(breach)::BIGINT AS late, round(sum(pred), 6) AS risk FROM judged GROUP BY 1", "judged"),
+)
+def load_predictions(spark, d):
+    """Predictions as the CSV file a training run leaves, read back."""
+    path = new_path(adapter.prepare(spark), "predictions")
+    tables.write_csv(judged(spark, d).select("comm_code", "breach", "pred"), path)
+    return tables.load_predictions(spark, path).groupBy("comm_code").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("breach").cast("long")).alias("late"), F.round(F.sum("pred"), 6).alias("risk")
+    )
+
+
 @query(
     "fairness_report",
     sql(
@@ -1842,6 +1899,25 @@ def promotion_gate(spark, d):
     return champion.promotion_gate(rows, PromotionSettings()).select("version", "promoted")
 
 
+@query("promotion_run")
+def promotion_run(spark, d):
+    """Train, evaluate, judge fairness, rescore the champion on the same rows, and gate: one row
+    of measured figures with the verdict."""
+    _, _, test_x, m = fitted(spark, d)
+    scored = adapter.materialize(m.predict(test_x), "evaluated")
+    found = metrics.evaluate(scored)
+    fair_ = fairness.fairness_report(scored, adapter.communities(spark, d), SMALL_FAIR).overall
+    champion_scores = metrics.average_precision(scored.withColumn("pred", adapter.synthetic_score()))
+    challenger = spark.createDataFrame([(found["pr_auc"], found["roc_auc"])], "pr_auc double, roc_auc double")
+    margin = champion.champion_margin(challenger, champion_scores).first()
+    row = fair_.select(
+        F.lit(found["pr_auc"]).alias("pr_auc"), F.lit(found["roc_auc"]).alias("roc_auc"), "recall_ratio", "min_group_lift",
+        F.lit(margin["champion_exists"]).alias("champion_exists"), F.lit(margin["champion_pr_auc"]).alias("champion_pr_auc"),
+        F.lit(margin["margin"]).alias("margin"), F.col("problems"),
+    )
+    return champion.promotion_gate(row, PromotionSettings())
+
+
 @query(
     "approval_blockers",
     """SELECT event_id AS version, CASE WHEN event_id % 3 = 0 THEN 'no fairness report attached'
@@ -1872,14 +1948,16 @@ def pick_version(spark, d):
 
 @query("score_open")
 def score_open(spark, d):
-    """Fit on the labels, then score what was open on the run date, end to end."""
-    done, _, _, m = fitted(spark, d)
+    """Score what was open on the run date with the stored model: its schema, its thresholds."""
+    path = new_path(adapter.prepare(spark), "model")
+    model.save(fitted(spark, d)[3], path, {"rows": 0.0})
+    m, _ = model.load(spark, path)
     asof = adapter.run_micros(spark, "2001-01-01")
     raw, comms = adapter.known_at(adapter.requests(spark, d), asof), adapter.communities(spark, d)
-    rows = scoring.scoring_rows(raw, done.thresholds, asof)
+    rows = scoring.scoring_rows(raw, m.thresholds, asof)
     context = scoring.context_frame(raw, rows)
     x = features.featurize(
-        rows, raw, done.thresholds, comms, adapter.holidays(spark, d), m.feature_set, context=context
+        rows, raw, m.thresholds, comms, adapter.holidays(spark, d), m.feature_set, context=context
     )
     scored = rows.join(m.predict(x).select(ID, "pred"), ID)
     out = scoring.stamp(scored, comms, model_ref="model-1", asof=asof, scored_at="2001-01-01T06:00:00")
@@ -1982,66 +2060,87 @@ def inject_drift(spark, d):
     return out.groupBy(department("service_name", DEPARTMENTS).alias("department")).agg(F.count(F.lit(1)).alias("n"))
 
 
-PROFILED = ("days_to_close", "longitude", "latitude")
-NAMED = ("service_name", "comm_name", "source")
+LEVELS = (*CATEGORICAL, "department")
+FEATURED = """mx AS (SELECT *, CASE WHEN split_part(service_name, ' - ', 1) IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+        THEN split_part(service_name, ' - ', 1) ELSE 'Other' END AS department FROM matrix)"""
 
 
-@query(
-    "profile_baseline",
-    sql(
-        " UNION ALL ".join(
-            f"""SELECT '{c}' AS "column", 'numeric' AS kind, count(*) AS rows, (count(*) - count({s}))::BIGINT AS missing,
-            count(DISTINCT {s}) AS distinct_values, min({s}) AS min, max({s}) AS max, round(avg({s}), 4) AS mean,
-            round(stddev_pop({s}), 4) AS std, round(quantile_cont({s}, 0.1::DOUBLE), 4) AS p10,
-            round(quantile_cont({s}, 0.5::DOUBLE), 4) AS p50, round(quantile_cont({s}, 0.9::DOUBLE), 4) AS p90 FROM aged"""
-            for c, s in zip(PROFILED, ("days", "longitude", "latitude"), strict=True)
+def featured(spark, d) -> DataFrame:
+    """The drift monitor's own table over all requests: every feature, and the department."""
+    rows = adapter.requests(spark, d)
+    key = (spark.sparkContext.applicationId, d, "featured")
+    if key not in adapter._built:
+        out = drift.feature_table(
+            rows, rows, adapter.base_thresholds(spark, d), adapter.communities(spark, d), adapter.holidays(spark, d),
+            known=DEPARTMENTS,
         )
-        + "".join(
-            f""" UNION ALL SELECT '{c}', 'string', count(*), (count(*) - count({c}))::BIGINT, count(DISTINCT {c}),
-            NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM aged"""
-            for c in NAMED
-        ),
-        "aged",
-    ),
+        adapter._built[key] = adapter.materialize(out, "featured")
+    return adapter._built[key]
+
+
+def behind(text: str, more: str) -> str:
+    """``text`` with ``more`` behind its last common table expression."""
+    head, body = text.rsplit("\nSELECT '", 1)
+    return f"{head}, {more}\nSELECT '{body}"
+
+
+PROFILE = " UNION ALL ".join(
+    [
+        f"""SELECT '{c}' AS "column", 'numeric' AS kind, count(*) AS rows, (count(*) - count({c}))::BIGINT AS missing,
+        count(DISTINCT {c}) AS distinct_values, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, round(avg({c}), 4) AS mean,
+        round(stddev_pop({c}), 4) AS std, round(quantile_cont({c}::DOUBLE, 0.1::DOUBLE), 4) AS p10,
+        round(quantile_cont({c}::DOUBLE, 0.5::DOUBLE), 4) AS p50, round(quantile_cont({c}::DOUBLE, 0.9::DOUBLE), 4) AS p90 FROM mx"""
+        for c in drift.NUMERIC
+    ]
+    + [
+        f"""SELECT '{c}', 'string', count(*), (count(*) - count({c}))::BIGINT, count(DISTINCT {c}),
+        NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM mx"""
+        for c in LEVELS
+    ]
 )
+
+
+@query("profile_baseline", behind(sql(PROFILE, "matrix"), FEATURED))
 def profile_baseline(spark, d):
-    out = drift.profile(labels.add_days_to_close(adapter.requests(spark, d)), PROFILED, NAMED)
+    out = drift.profile(featured(spark, d), drift.NUMERIC, LEVELS)
     return out.select(
         "column", "kind", "rows", "missing", "distinct_values", "min", "max",
         *[F.round(c, 4).alias(c) for c in ("mean", "std", "p10", "p50", "p90")],
     )
 
 
-@query(
-    "drift_violations",
-    sql(
-        """SELECT 'source' AS "column", 'baseline_drift_check' AS check_type, round(d, 6) AS observed FROM (
-          SELECT max(abs(coalesce(a, 0) - coalesce(b, 0))) AS d FROM
-          (SELECT source, count(*) / (sum(count(*)) OVER ())::DOUBLE AS a FROM early GROUP BY 1) FULL JOIN
-          (SELECT source, count(*) / (sum(count(*)) OVER ())::DOUBLE AS b FROM late_rows GROUP BY 1) USING (source)) WHERE d > 0.1
-        UNION ALL
-        SELECT 'days_to_close', 'baseline_drift_check', round(d, 6) FROM (SELECT max(abs(fa - fb)) AS d FROM (
-          SELECT sum(CAST(e AS INT)) OVER w / (SELECT count(days) FROM early)::DOUBLE AS fa,
-          sum(CAST(NOT e AS INT)) OVER w / (SELECT count(days) FROM late_rows)::DOUBLE AS fb FROM
-          (SELECT days, true AS e FROM early WHERE days IS NOT NULL UNION ALL
-          SELECT days, false FROM late_rows WHERE days IS NOT NULL) WINDOW w AS (ORDER BY days))) WHERE d > 0.1
-        UNION ALL
-        SELECT 'days_to_close', 'completeness_check', round(b, 6) FROM
-          (SELECT count(days) / count(*)::DOUBLE AS a FROM early), (SELECT count(days) / count(*)::DOUBLE AS b FROM late_rows) WHERE b < a""",
-        "aged",
-    ).replace(
-        "\nSELECT 'source'",
-        """, early AS (SELECT * FROM aged WHERE requested_date < TIMESTAMP '1998-01-01'),
-        late_rows AS (SELECT * FROM aged WHERE requested_date >= TIMESTAMP '1998-01-01')\nSELECT 'source'""",
-    ),
-)
+SHARE = "(SELECT {0} AS v, count(*) / (sum(count(*)) OVER ())::DOUBLE AS {1} FROM {2} WHERE {0} IS NOT NULL GROUP BY 1)"
+MOVED = " UNION ALL ".join(
+    [
+        f"""SELECT '{c}' AS "column", 'completeness_check' AS check_type, round(b, 6) AS observed FROM
+        (SELECT count({c}) / count(*)::DOUBLE AS a FROM early), (SELECT count({c}) / count(*)::DOUBLE AS b FROM late_rows) WHERE b < a"""
+        for c in (*drift.NUMERIC, *LEVELS)
+    ]
+    + [
+        f"""SELECT '{c}', 'baseline_drift_check', round(d, 6) FROM (SELECT max(abs(coalesce(a, 0) - coalesce(b, 0))) AS d FROM
+        {SHARE.format(c, 'a', 'early')} FULL JOIN {SHARE.format(c, 'b', 'late_rows')} USING (v)) WHERE d > 0.1
+        UNION ALL SELECT '{c}', 'categorical_values_check', round(u, 6) FROM (SELECT sum(b) AS u FROM
+        {SHARE.format(c, 'b', 'late_rows')} LEFT JOIN {SHARE.format(c, 'a', 'early')} USING (v) WHERE a IS NULL) WHERE u > 0"""
+        for c in LEVELS
+    ]
+    + [
+        f"""SELECT '{c}', 'baseline_drift_check', round(d, 6) FROM (SELECT max(abs(fa - fb)) AS d FROM (
+        SELECT sum(CAST(e AS INT)) OVER w / (SELECT count({c}) FROM early)::DOUBLE AS fa,
+        sum(CAST(NOT e AS INT)) OVER w / (SELECT count({c}) FROM late_rows)::DOUBLE AS fb FROM
+        (SELECT {c} AS x, true AS e FROM early WHERE {c} IS NOT NULL UNION ALL
+        SELECT {c}, false FROM late_rows WHERE {c} IS NOT NULL) WINDOW w AS (ORDER BY x))) WHERE d > 0.1"""
+        for c in drift.NUMERIC
+    ]
+)
+SPLIT_FEATURES = f"""{FEATURED}, early AS (SELECT * FROM mx WHERE requested_date < TIMESTAMP '1998-01-01'),
+        late_rows AS (SELECT * FROM mx WHERE requested_date >= TIMESTAMP '1998-01-01')"""
+
+
+@query("drift_violations", behind(sql(MOVED, "matrix"), SPLIT_FEATURES))
 def drift_violations(spark, d):
-    aged = labels.add_days_to_close(adapter.requests(spark, d))
+    rows = featured(spark, d).join(adapter.requests(spark, d).select(ID, F.col("requested_date").alias("_t")), ID)
     edge = F.lit("1998-01-01").cast("timestamp")
-    out = drift.violations(
-        aged.where(F.col("requested_date") < edge), aged.where(F.col("requested_date") >= edge),
-        ("days_to_close",), ("source",),
-    )
+    out = drift.violations(rows.where(F.col("_t") < edge), rows.where(F.col("_t") >= edge), drift.NUMERIC, LEVELS)
     return out.select("column", "check_type", six("observed"))
 
 
