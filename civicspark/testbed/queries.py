@@ -2250,7 +2250,13 @@ def job_health(spark, d):
     )
 
 
-@query("alert_lines")
+@query(
+    "alert_lines",
+    f"""WITH bad AS (SELECT h.*, e.* FROM ({ORACLE['job_health']}) h JOIN events e ON e.event_id = h.job_id WHERE h.flag)
+    SELECT 0 AS ord, format('{{:,}}', count(*)) || ' job(s) flagged' AS line FROM bad HAVING count(*) > 0
+    UNION ALL SELECT 1, '- civic-' || event_type || '-' || strftime(ts, '%Y%m%d-%H%M%S') || ' (' || event_type || '): ' || reason || '; '
+      || CASE WHEN value IS NULL THEN 'no billed time' ELSE round(value)::BIGINT::VARCHAR || ' s' END FROM bad""",
+)
 def alert_lines(spark, d):
     return jobs.alert_lines(assessed(spark, d))
 

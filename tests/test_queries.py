@@ -1,15 +1,19 @@
 """Every query has a name in both places, and a spread of them equals its SQL."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, rows_of
+from civicspark.session import new_path, release
+from civicspark.plans import drift, metrics
+from civicspark.testbed import adapter
+from civicspark.testbed.queries import ORACLE, QUERIES
 
-CHECKED = (
-    "asof_range_agg", "history_features", "training_labels", "rank_in_sector", "reflag", "scorecard",
-    "fairness_report", "grade_post_hoc", "job_health", "profile_baseline", "rows_at", "drift_violations",
-)
+#: The package of text operators has its own tests; the model is fitted once per session.
+CHECKED = sorted(n for n in QUERIES if n in ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -36,5 +40,37 @@ def test_the_model_reproduces_itself(spark, sf):
 
 def test_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) > 115
+    assert len(entry.queries()) > 125
     assert entry.entry(spark).count() > 0
+
+
+def test_the_gate_runs_on_measured_figures(spark, sf):
+    row = QUERIES["promotion_run"](spark, sf).first()
+    assert 0 <= row["pr_auc"] <= 1 and row["champion_exists"] == 1 and row["margin"] is not None
+    assert row["promoted"] in (True, False)
+
+
+def test_a_model_that_differs_is_refused(spark):
+    shape = "metric string, value double"
+    now, then = (spark.createDataFrame([("roc_auc", v), ("pr_auc", 0.5)], shape) for v in (0.7, 0.71))
+    with pytest.raises(metrics.MetricMismatch, match="roc_auc"):
+        metrics.require_match(now, then, ("roc_auc", "pr_auc"))
+    assert metrics.require_match(now, now, ("roc_auc", "pr_auc")).count() == 2
+
+
+def test_a_share_below_the_present_one_is_refused(spark):
+    rows = spark.createDataFrame([(str(i), "Urgent" if i % 2 else "Calm") for i in range(40)], "service_request_id string, service_name string")
+    with pytest.raises(ValueError, match="below the present"):
+        drift.inject(rows, "urgent", 0.2)
+    assert drift.inject(rows, "urgent", 0.8).count() == 40
+
+
+def test_nothing_stays_behind(spark):
+    """Intermediate tables go when the session is done with them. Last, as others read theirs."""
+    path = new_path(spark, "left")
+    spark.range(3).write.parquet(path)
+    folder = Path(path.removeprefix("file:")).parent
+    assert folder.is_dir()
+    adapter._built.clear()
+    release(spark)
+    assert not folder.exists()
