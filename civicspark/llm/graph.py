@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from civicspark.session import materialize
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other and none of those hangs on another: nothing is left
+    to do, and another round would only repeat the links."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("v").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return ends.filter("up > 1 OR (up > 0 AND down > 0)").limit(1).count() == 0
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -30,16 +33,12 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(
         links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
-    mark = _mark(edges)
-    while mark[0]:
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = both.filter("b > a").join(_least(both), "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialize(large.distinct(), "large_star")
         least = _least(large)
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "small_star")
-        last, mark = mark, _mark(edges)
-        if mark == last:
-            break
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(edges.select("b", "b").distinct())

@@ -11,24 +11,28 @@ from pyspark.sql import functions as F
 
 from civicspark.llm.columns import fresh, whole
 from civicspark.llm.graph import components
-from civicspark.llm.words import hash_words, mix, shingles, slices, text_bytes
+from civicspark.llm.words import groups, hash_words, mix, shingles, slices, text_bytes
 from civicspark.session import materialize
 
-#: 24 bands of 4 minima: two sets of similarity 0.8 share no band once in 300,000 times.
-BANDS, ROWS = 24, 4
+#: 32 bands of 5 minima: two sets of similarity 0.8 share no band once in 300,000 times.
+BANDS, ROWS = 32, 5
 #: Bits kept of each minimum, and minima in one 64-bit number.
-BITS = 2
+BITS = 4
 PACKED = 64 // BITS
-#: How far below the threshold the estimate may fall before a candidate is left out: five
-#: standard deviations of an estimate from 96 minima.
-SLACK = 0.25
+#: How far below the threshold the estimate may fall before a candidate is left out: more than
+#: four standard deviations of an estimate from 160 minima.
+SLACK = 0.14
+#: Hubs that the members of a band meet before they meet each other.
+HUBS = 3
+#: Shingles in one block of what is compared member by member.
+BLOCK = 1 << 18
 #: Shingles hashed in one go.
 CHUNK = 1 << 16
 
 _RNG = np.random.default_rng(96)
 _XOR = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FACTORS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
+_FACTORS = np.random.default_rng(5).integers(0, 2**63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -69,7 +73,7 @@ def _features(width: int):
                 minima = mix(minima)
                 low = (minima & np.uint64((1 << BITS) - 1)).reshape(k, -1, PACKED)
                 signature = np.bitwise_or.reduce(low << (np.arange(PACKED, dtype=np.uint64) * np.uint64(BITS)), axis=2)
-                bands = (minima.reshape(k, BANDS, ROWS) * _FACTORS[:ROWS]).sum(axis=2, dtype=np.uint64)
+                bands = (minima.reshape(k, BANDS, ROWS) * _FACTORS).sum(axis=2, dtype=np.uint64)
                 bands = mix(bands + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 k1, k2 = _digests(values, starts)
                 n = np.where(blank, 0, np.diff(starts))
@@ -108,20 +112,82 @@ def estimate(a: Column, b: Column) -> Column:
     return (1 - differ / (BANDS * ROWS) - chance) / (1 - chance)
 
 
-def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. Sets are made again from the texts of
-    the classes concerned, and meet their pairs by two joins; no group is gathered."""
-    pairs = materialize(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = materialize(classes.join(wanted, "cid", "left_semi").select("cid", "least", "k1", "k2", "n"), "wanted")
-    found = docs.join(wanted.select("least").distinct(), F.col("id").eqNullSafe(F.col("least")), "left_semi")
+def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """cid, members: the full sets of the classes ``wanted``, made again from one text of each."""
+    wanted = materialize(classes.join(wanted, "cid", "left_semi").select("cid", "least", "k1", "k2"), "wanted")
+    # The ids alone are a small table: while it is, no text is shuffled to find these.
+    ids = materialize(wanted.select("least").distinct(), "wanted_ids")
+    found = docs.join(ids, F.col("id").eqNullSafe(F.col("least")), "left_semi")
     sets = found.select("text").mapInArrow(_full_sets(width), "k1 long, k2 long, members array<long>")
     sets = sets.join(wanted.select("cid", "k1", "k2"), ["k1", "k2"]).select("cid", "members")
-    sets = materialize(sets.dropDuplicates(["cid"]), "sets")
+    return materialize(sets.dropDuplicates(["cid"]), "sets")
+
+
+def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold; no group is gathered."""
     both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("x")), "a")
     both = both.join(sets.select(F.col("cid").alias("b"), F.col("members").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return materialize(both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b"), "links")
+
+
+def _likely(x: str, y: str, percent: int) -> Column:
+    """Whether two marks (set size and signature) may belong to sets that reach the threshold:
+    their sizes allow it, and so does the estimate."""
+    m, n = F.col(f"{x}.n"), F.col(f"{y}.n")
+    sizes = 100 * F.least(m, n) >= percent * F.greatest(m, n)
+    return sizes & (estimate(F.col(f"{x}.signature"), F.col(f"{y}.signature")) >= percent / 100 - SLACK)
+
+
+def _labelled(frame: DataFrame, labels: DataFrame, cid: str, name: str) -> DataFrame:
+    """Adds the component of column ``cid``: its own number where it has no link yet."""
+    own = labels.select(F.col("node").alias(cid), F.col("component").alias(name + "_"))
+    return frame.join(own, cid, "left").withColumn(name, F.coalesce(name + "_", cid)).drop(name + "_")
+
+
+def _block_links(percent: int):
+    """Links between members of two blocks that are in different components: sizes and estimate
+    choose whom to compare, the full sets decide."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ones = np.uint64(sum(1 << (BITS * i) for i in range(PACKED)))
+        enough, chance = percent / 100 - SLACK, 2.0**-BITS
+        for group in groups(batches, ("cluster", "p", "q")):
+            ids, of, n, block = (group[c].to_numpy() for c in ("cid", "of", "n", "block"))
+            marks = group["signature"].combine_chunks() if isinstance(group["signature"], pa.ChunkedArray) else group["signature"]
+            marks = np.array(marks.flatten().to_numpy()).view(np.uint64).reshape(len(ids), -1)
+            across = group["p"][0].as_py() != group["q"][0].as_py()
+            out: tuple[list, list] = ([], [])
+            for i in range(len(ids) - 1):
+                j = np.arange(i + 1, len(ids))
+                low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+                j = j[(of[j] != of[i]) & (100 * low >= percent * high) & ((block[j] != block[i]) | (not across))]
+                differ = marks[j] ^ marks[i]
+                for shift in range(BITS.bit_length() - 1):
+                    differ |= differ >> np.uint64(1 << shift)
+                equal = 1 - np.bitwise_count(differ & ones).sum(axis=1) / (BANDS * ROWS)
+                j = j[(equal - chance) / (1 - chance) >= enough]
+                own = group["members"][i].values.to_numpy() if len(j) else None
+                for k in j.tolist():
+                    shared = len(np.intersect1d(own, group["members"][k].values.to_numpy(), assume_unique=True))
+                    if 100 * shared >= percent * (int(n[i]) + int(n[k]) - shared):
+                        out[0].append(int(ids[i]))
+                        out[1].append(int(ids[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _compared(rows: DataFrame, percent: int) -> DataFrame:
+    """The links between components inside each cluster. A cluster is cut in blocks of about as many
+    shingles as a task holds easily, and every two blocks meet in a task of their own: what is
+    alike without linking is compared there and never becomes a row."""
+    sizes = rows.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    own = rows.join(materialize(sizes, "sizes"), "cluster").withColumn("block", F.pmod(F.hash("cid"), F.col("blocks")))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("cluster", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "cid", "of", "n", "block", "signature", "members")
+    own = own.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q")
+    return materialize(own.mapInArrow(_block_links(percent), "a long, b long"), "block_links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,9 +200,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     ids count as larger than all others; among null ids only, component_id is null and all are
     kept, as are rows that repeat the least id. An empty table gives an empty result.
 
-    Documents of equal sets are one class, so copies cost one row. Classes sharing a band meet the
-    least class of the band, a star and not all pairs. What the stars leave in different components
-    of one band is then compared pair by pair, the estimate inside the join.
+    Documents of equal sets are one class, so copies cost one row. Classes sharing a band meet three
+    hubs of the band, stars and not all pairs. What is left in different components of one band is
+    compared block by block.
     """
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(whole(text)).alias("body"))
     kind = docs.schema["id"].dataType.simpleString()
@@ -145,35 +211,39 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     classes = features.filter("n > 0").groupBy("k1", "k2", "n")
     classes = classes.agg(F.min("id").alias("least"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    marks = classes.select("cid", F.struct("n", "signature").alias("mark"))
+
     buckets = classes.select("cid", F.explode("bands").alias("band"))
-    hubs = buckets.groupBy("band").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    buckets = materialize(buckets.join(materialize(hubs.drop("size"), "hubs"), "band").filter("cid <> hub"), "buckets")
-
-    marks = classes.select("cid", "signature")
-    stars = buckets.select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
-    stars = stars.join(marks.select(F.col("cid").alias("a"), F.col("signature").alias("x")), "a")
-    stars = stars.join(marks.select(F.col("cid").alias("b"), F.col("signature").alias("y")), "b")
-    enough = percent / 100 - SLACK
-    links = _confirm(docs, classes, stars.filter(estimate(F.col("x"), F.col("y")) >= enough).select("a", "b"), width, percent)
-    links = materialize(links, "links")
+    order = [F.xxhash64("cid", F.lit(j)) for j in range(HUBS)]
+    hubs = buckets.groupBy("band").agg(*(F.min_by("cid", o).alias(f"h{j}") for j, o in enumerate(order)), F.count(F.lit(1)).alias("size"))
+    hubs = materialize(hubs.filter("size > 1").drop("size"), "hubs")
+    buckets = materialize(buckets.join(hubs, "band"), "buckets")
+    stars = buckets.select("cid", F.explode(F.array(*(f"h{j}" for j in range(HUBS)))).alias("hub"))
+    stars = stars.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).filter("a <> b").distinct()
+    stars = stars.join(marks.select(F.col("cid").alias("a"), F.col("mark").alias("x")), "a")
+    stars = stars.join(marks.select(F.col("cid").alias("b"), F.col("mark").alias("y")), "b")
+    stars = materialize(stars.filter(_likely("x", "y", percent)).select("a", "b"), "stars")
+    ids = stars.select(F.col("a").alias("cid")).union(stars.select("b")).distinct()
+    sets = _sets_of(docs, classes, ids, width)
+    links = _confirm(sets, stars, percent)
     labels = materialize(components(links), "labels")
 
-    # Members of one band that are still apart, the band's least class excepted: it has met them all.
-    label = F.coalesce("component", "cid")
-    apart = buckets.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("band", "cid", label.alias("of"))
-    apart = materialize(apart.join(marks, "cid"), "apart")
-    several = apart.groupBy("band").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low <> high").select("band")
-    apart = materialize(apart.join(materialize(several, "several"), "band", "left_semi"), "still_apart")
-    left = apart.select("band", F.col("cid").alias("a"), F.col("of").alias("of_a"), F.col("signature").alias("x"))
-    right = apart.select("band", F.col("cid").alias("b"), F.col("of").alias("of_b"), F.col("signature").alias("y"))
-    near = (F.col("of_a") < F.col("of_b")) & (estimate(F.col("x"), F.col("y")) >= enough)
-    rest = materialize(left.join(right, "band").filter(near).select("a", "b").distinct(), "rest")
-    if rest.limit(1).count():
-        links = links.union(_confirm(docs, classes, rest, width, percent))
-        labels = materialize(components(links), "labels")
+    # Members of one band that are still apart; its hubs have met them all.
+    apart = buckets.filter(" AND ".join(f"cid <> h{j}" for j in range(HUBS))).select("band", "cid")
+    apart = materialize(_labelled(apart, labels, "cid", "of"), "apart")
+    several = apart.groupBy("band").agg(F.min("of").alias("low"), F.max("of").alias("high"), F.min("cid").alias("first")).filter("low <> high")
+    apart = materialize(apart.join(materialize(several.select("band", "first"), "several"), "band"), "still_apart")
+    if apart.limit(1).count():
+        clusters = materialize(components(apart.select(F.col("cid").alias("a"), F.col("first").alias("b"))), "clusters")
+        ids = materialize(clusters.select(F.col("node").alias("cid")).join(sets.select("cid"), "cid", "left_anti"), "more")
+        if ids.limit(1).count():
+            sets = sets.union(_sets_of(docs, classes, ids, width))
+        rows = _labelled(clusters.withColumnRenamed("node", "cid").withColumnRenamed("component", "cluster"), labels, "cid", "of")
+        rows = rows.join(classes.select("cid", "n", "signature"), "cid").join(sets, "cid")
+        labels = materialize(components(links.union(_compared(rows, percent))), "labels")
 
     named = classes.select("k1", "k2", "n", "cid", "least").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    named = named.withColumn("component", label)
+    named = named.withColumn("component", F.coalesce("component", "cid"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialize(named.join(materialize(least, "least"), "component").select("k1", "k2", "n", "component_id"), "named")
     own = features.select("id", "body", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.graph import components
+from civicspark.llm.words import groups
 from civicspark.session import materialize
 
 #: Neighbours on a list at first.
@@ -112,30 +113,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _out(*([part] for part in _best(ids, rows @ rows.T, K)))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-    """Whole groups of rows sorted by ``keys``, whatever the batches."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
-        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        if held and any(held[-1][k][-1].as_py() != batch[k][0].as_py() for k in keys):
-            new = np.concatenate([[0], new])
-        at = 0
-        for cut in new:
-            held.append(batch.slice(at, cut - at))
-            yield pa.concat_batches(held)
-            held, at = [], int(cut)
-        held.append(batch.slice(at))
-    if held:
-        yield pa.concat_batches(held)
-
-
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The neighbours of one vector meet each other; only what betters a list is kept."""
     out, size = ([], [], []), 0
-    for group in _groups(batches, ("center", "chunk")):
+    for group in groups(batches, ("center", "chunk")):
         ids, first = np.unique(group["member"].to_numpy(), return_index=True)
         if len(ids) < 2:
             continue
@@ -183,7 +164,7 @@ def _compare(threshold: float):
     each one links with, and a root that its links reach inside the two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ("component", "p", "q")):
+        for group in groups(batches, ("component", "p", "q")):
             ids, n, block = (group[c].to_numpy() for c in ("cid", "n", "block"))
             v, p, q = units(_matrix(group["raw"])), group["p"][0].as_py(), group["q"][0].as_py()
             linked = v @ v.T >= threshold

@@ -129,3 +129,23 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> Iterator[
         end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, "right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Whole groups of rows sorted by ``keys``, whatever the batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        if held and any(held[-1][k][-1].as_py() != batch[k][0].as_py() for k in keys):
+            new = np.concatenate([[0], new])
+        at = 0
+        for cut in new:
+            held.append(batch.slice(at, cut - at))
+            yield pa.concat_batches(held)
+            held, at = [], int(cut)
+        held.append(batch.slice(at))
+    if held:
+        yield pa.concat_batches(held)

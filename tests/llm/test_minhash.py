@@ -58,7 +58,11 @@ def test_equals_brute_force_on_documents(spark, sf_docs, width):
     assert result(M.near_duplicates(sf_docs, width)) == brute(rows, width)
 
 
-def test_a_large_group_of_near_copies_and_odd_rows(spark):
+@pytest.mark.parametrize("block", [None, 3000])
+def test_a_large_group_of_near_copies_and_odd_rows(spark, block, monkeypatch):
+    if block:  # members left apart meet over many blocks
+        monkeypatch.setattr(M, "BLOCK", block)
+        monkeypatch.setattr(M, "HUBS", 1)
     rows = family(1) + [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "one"), (1004, "ONE"), (1005, "one two"), (None, "one"), (None, None), (1006, "one")]
     rows += [(2000, rows[0][1] + " tail"), (2001, "many words " * 20000), (2002, "many words " * 20000 + "more")]
     assert result(M.near_duplicates(documents(spark, rows), 2)) == brute(rows, 2)
