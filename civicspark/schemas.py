@@ -28,6 +28,7 @@ LEAKY_COLUMNS = (
     "purge_closed",
     "censored",
 )
+# What the gate requires.
 REQUIRED_COLUMNS = (*INTAKE_COLUMNS, "closed_date")
 
 DATE_COLUMNS = ("requested_date", "updated_date", "closed_date")
@@ -74,6 +75,7 @@ SCORES = T.StructType(
     ]
 )
 
+# The features of each set, in order, and the years each set trains on.
 CATEGORICAL = ("service_name", "agency_responsible", "comm_name", "source")
 CALENDAR = ("req_month", "req_dow", "req_is_weekend", "req_is_holiday_week")
 BACKLOG = ("cat_open_30d", "comm_req_30d")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+# Names that appear in outputs.
 UNKNOWN = "UNKNOWN"
 GLOBAL_CATEGORY = "__global__"
 USAGE = "shadow-not-for-use"
@@ -36,6 +37,7 @@ OTHER_DEPARTMENT = "Other"
 RATIO_BREAKS = (0.85, 0.95, 1.05, 1.15)
 
 
+# The default windows and percentile of the labels.
 @dataclass(frozen=True)
 class LabelSettings:
     """What "late" means: a category's own percentile of resolution time."""
@@ -50,6 +52,7 @@ class LabelSettings:
             raise ValueError(f"unknown purge_handling {self.purge_handling!r}")
 
 
+# The default limits of the data-quality gate.
 @dataclass(frozen=True)
 class GateSettings:
     """Limits of the data-quality checks."""
@@ -79,6 +82,7 @@ class GateSettings:
     stale_close_min_age_days: float = 120.0
 
 
+# The default floors of the fairness report.
 @dataclass(frozen=True)
 class FairnessSettings:
     """The triage quota and the per-group floors."""
@@ -91,6 +95,7 @@ class FairnessSettings:
     min_group_lift: float = 1.5
 
 
+# The default floors of the promotion gate.
 @dataclass(frozen=True)
 class PromotionSettings:
     """Floors a model must clear before it is registered."""
@@ -101,6 +106,7 @@ class PromotionSettings:
     champion_margin: float = 0.005
 
 
+# The default control limits.
 @dataclass(frozen=True)
 class ControlSettings:
     """The EWMA chart and the short-history ratio rule."""
@@ -112,6 +118,7 @@ class ControlSettings:
     ratio: float = 2.0
 
 
+# The default windows and shares of the scorecard.
 @dataclass(frozen=True)
 class ScorecardSettings:
     segment_category: str = "WRS - Waste - Residential"
@@ -133,6 +140,7 @@ class LateRate:
     min_n: int
 
 
+# The late-rate features, their keys, windows and least counts.
 LATE_RATES = (
     LateRate("cat_late_90d", ("service_name",), 90, 20),
     LateRate("comm_late_90d", ("comm_name",), 90, 20),
