@@ -36,3 +36,21 @@ def fresh(*frames: DataFrame) -> str:
         name = f"x{uuid.uuid4().hex[:8]}_"
         if not any(c.startswith(name) for c in taken):
             return name
+
+
+#: Bits of the filter below: four megabytes once they are grouped in words.
+FILTER_BITS = 1 << 24
+
+
+def likely_among(rows: DataFrame, key: Column, ids: DataFrame, id_column: str) -> DataFrame:
+    """The rows whose ``key`` may be among ``ids``, and some others: those whose hash meets no bit of
+    any id go before they are shuffled. The filter's size is fixed, so it can be broadcast however
+    many ids there are; with very many it lets more through. An exact join has to follow."""
+    p = fresh(rows, ids)
+    place = F.pmod(F.xxhash64(F.col(id_column)), F.lit(FILTER_BITS))
+    words = ids.select(place.alias("at")).groupBy(F.floor(F.col("at") / 64).alias(p + "word"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias(p + "bits"))
+    own = rows.withColumn(p + "at", F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)))
+    own = own.join(F.broadcast(words), F.floor(F.col(p + "at") / 64) == F.col(p + "word"))
+    hit = F.expr(f"({p}bits & shiftleft(1L, cast({p}at % 64 as int))) != 0")
+    return own.filter(hit).select(*rows.columns)

@@ -3,7 +3,10 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from civicspark.llm import words as W
+from civicspark.llm.columns import likely_among
 
 from .conftest import words
 
@@ -49,3 +52,13 @@ def test_slices_keep_every_row():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 50, "", "c"])], names=["text"])
     parts = list(W.slices(batch, "text", 20))
     assert sum((p["text"].to_pylist() for p in parts), []) == batch["text"].to_pylist() and len(parts) > 1
+
+
+def test_the_filter_keeps_every_wanted_row(spark):
+    rows = spark.createDataFrame([(i if i % 7 else None, f"t{i}") for i in range(3000)], "id long, text string")
+    ids = rows.filter("id % 11 = 0 OR id IS NULL").select("id").distinct()
+    out = likely_among(rows, F.col("id"), ids, "id")
+    assert out.columns == rows.columns
+    want = {r["text"] for r in rows.filter("id % 11 = 0 OR id IS NULL").collect()}
+    got = {r["text"] for r in out.collect()}
+    assert want <= got and len(got) < len(want) + 20
