@@ -14,13 +14,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.words import slices
+from civicspark.llm.words import mix, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: What stands for a space in a piece.
 SPACE = "▁"
 #: Segments whose ids a task keeps, some 200 MB, and the longest segment that is kept.
 KEPT, LONGEST = 1 << 20, 48
+#: Distances to the next skipped merge that are drawn at once.
+DRAWS = 256
 #: A rank behind all others.
 FAR = 1 << 40
 MASK = 2**64 - 1
@@ -55,7 +57,16 @@ class Pieces:
         short segment is the list of its neighbours' ranks, that of a long one a heap.
         """
         salt = xxhash.xxh64_intdigest(segment, key) | 1 if limit else 0
-        symbols = self._short(segment, salt, limit) if len(segment) <= LONGEST else self._long(segment, salt, limit)
+        return self._raw(self._short(segment, salt, limit) if len(segment) <= LONGEST else self._long(segment, salt, limit))
+
+    def merge_without(self, segment: str, skips: tuple[int, ...]) -> tuple[bytes, int]:
+        """The ids of one segment if the candidate merges of these numbers, in the order in which they
+        leave the agenda, are skipped for good; and how many candidates left it."""
+        turns = Turns(skips)
+        symbols = self._short(segment, 0, 0, turns) if len(segment) <= LONGEST else self._long(segment, 0, 0, turns)
+        return self._raw(symbols), turns.n
+
+    def _raw(self, symbols: list[str]) -> bytes:
         ids = self.ids
         try:
             return array("i", [ids[x] for x in symbols]).tobytes()
@@ -63,13 +74,13 @@ class Pieces:
             spelt = self.bytes
             return array("i", [i for x in symbols for i in ([ids[x]] if x in ids else [spelt[b] for b in x.encode()])]).tobytes()
 
-    def _short(self, segment: str, salt: int, limit: int) -> list[str]:
+    def _short(self, segment: str, salt: int, limit: int, turns: Turns | None = None) -> list[str]:
         symbols, rank = list(segment), self.ranks.get
         ranks = [rank(x, FAR) for x in map(str.__add__, symbols, symbols[1:])]
         places = list(range(len(symbols)))
         while ranks and (due := min(ranks)) < FAR:
             i = ranks.index(due)
-            if limit and (salt * (due * 65537 + places[i]) >> 32) & 0xFFFFFFFF < limit:
+            if (limit and (salt * (due * 65537 + places[i]) >> 32) & 0xFFFFFFFF < limit) or (turns and turns.skip()):
                 ranks[i] = FAR
                 continue
             piece = symbols[i] = symbols[i] + symbols.pop(i + 1)
@@ -80,7 +91,7 @@ class Pieces:
                 ranks[i - 1] = rank(symbols[i - 1] + piece, FAR)
         return symbols
 
-    def _long(self, segment: str, salt: int, limit: int) -> list[str]:
+    def _long(self, segment: str, salt: int, limit: int, turns: Turns | None = None) -> list[str]:
         symbols: list[str | None] = list(segment)
         n, rank = len(symbols), self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -93,7 +104,7 @@ class Pieces:
             if symbols[i] is None or j >= n:
                 continue
             piece = symbols[i] + symbols[j]
-            if rank(piece) != due or (limit and (salt * (due * 65537 + i) >> 32) & 0xFFFFFFFF < limit):
+            if rank(piece) != due or (limit and (salt * (due * 65537 + i) >> 32) & 0xFFFFFFFF < limit) or (turns and turns.skip()):
                 continue
             symbols[i], symbols[j] = piece, None
             k = after[i] = after[j]
@@ -106,7 +117,7 @@ class Pieces:
                 heappush(agenda, r * n + h)
         return [x for x in symbols if x is not None]
 
-    def encode(self, text: str, kept: Kept) -> bytes:
+    def encode(self, text: str, kept: Kept | Drawn) -> bytes:
         """The ids of a text, four bytes each; an empty text has none."""
         if len(kept) >= KEPT:
             kept.clear()
@@ -116,7 +127,7 @@ class Pieces:
             if number:
                 out.append(array("i", [self.bytes[b] for b in SPACE.encode()]).tobytes())
             part = (SPACE if number == 0 and text else "") + part.replace(" ", SPACE)
-            out += map(kept.__getitem__, [part] if self.whole else self.cut.findall(part))
+            out += map(kept.take, [part] if self.whole else self.cut.findall(part))
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -127,12 +138,24 @@ class Pieces:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+class Turns:
+    """Counts candidate merges and says which are skipped."""
+
+    def __init__(self, skips: tuple[int, ...]):
+        self.skips, self.n = skips, 0
+
+    def skip(self) -> bool:
+        self.n += 1
+        return self.n - 1 in self.skips
+
+
 class Kept(dict):
     """The ids of segments met before; a new one is merged."""
 
     def __init__(self, pieces: Pieces, key: int = 0, limit: int = 0):
         super().__init__()
         self.pieces, self.key, self.limit = pieces, key, limit
+        self.take = self.__getitem__
 
     def __missing__(self, segment: str) -> bytes:
         raw = self.pieces.merge(segment, self.key, self.limit)
@@ -141,15 +164,71 @@ class Kept(dict):
         return raw
 
 
+class Drawn(dict):
+    """Segments whose candidate merges are skipped by draws of their own, wherever they occur.
+
+    The candidates of a document, one after the other, are independent trials. Only the distance to
+    the next one that is skipped is drawn, and it runs on over segments without one. What is kept, by
+    segment and the numbers of its skipped candidates, are its ids and how many candidates it had.
+    """
+
+    def __init__(self, pieces: Pieces, rate: float):
+        super().__init__()
+        self.pieces, self.rate = pieces, rate
+
+    def __missing__(self, key: str | tuple) -> tuple[bytes, int]:
+        segment, skips = (key, ()) if isinstance(key, str) else (key[0], key[1:])
+        made = self.pieces.merge_without(segment, skips)
+        if len(segment) <= LONGEST:
+            self[key] = made
+        return made
+
+    def begin(self, key: int) -> None:
+        """The draws of the document with this key come next."""
+        self.key, self.at, self.pool = key, 0, iter(())
+        self.left = self.gap()
+
+    def gap(self) -> float:
+        """Candidates that stand before the next one that is skipped."""
+        if not 0 < self.rate < 1:
+            return 0 if self.rate else float("inf")
+        if (g := next(self.pool, None)) is None:
+            # The draws' numbers are hashed with the key, so that no draw depends on a task.
+            bits = mix(np.arange(self.at, self.at + DRAWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(self.key))
+            self.at += DRAWS
+            gaps = np.log(((bits >> np.uint64(11)).astype(np.float64) + 1) / 2**53) / np.log1p(-self.rate)
+            self.pool = iter(gaps.astype(np.int64).tolist())
+            g = next(self.pool)
+        return g
+
+    def take(self, segment: str) -> bytes:
+        raw, n = self[segment]
+        if n <= self.left:
+            self.left -= n
+            return raw
+        key, done = (segment,), 0
+        while done + self.left < n:
+            done += self.left
+            key += (done,)
+            done += 1
+            self.left = self.gap()
+            raw, n = self[key]
+        self.left -= n - done
+        return raw
+
+
 def _encode(proto, rate: float, seed: int, streams: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(proto.value)
         kept = [Kept(pieces, (seed * 0x9E3779B97F4A7C15 + i) & MASK, int(rate * 2**32)) for i in range(streams)]
+        drawn = Drawn(pieces, rate)
         for batch in (part for whole in batches for part in slices(whole, "text")):
             ids, same = [], []
             for text, stream in zip(batch["text"].to_pylist(), batch["stream"].to_pylist()):
                 text = text or ""
-                ids.append(np.frombuffer(pieces.encode(text, kept[stream]), np.int32))
+                if not streams:
+                    drawn.begin(xxhash.xxh64_intdigest(text, (seed * 0x9E3779B97F4A7C15 + stream) & MASK))
+                ids.append(np.frombuffer(pieces.encode(text, kept[stream] if streams else drawn), np.int32))
                 same.append(pieces.decode(ids[-1].tolist()) == text)
             ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
             lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids) if ids else [], pa.int32()))
@@ -185,12 +264,16 @@ def encode_texts(
     Pieces are built by merging from single characters, best score first; each candidate merge is
     skipped with probability ``dropout`` by a hash of the seed, the segment, the piece and the place,
     so a rerun agrees and another seed segments anew. With ``streams`` above 1 documents are
-    dealt by their id to as many independent segmentations. 0 gives the model's own encoding, 1 single
+    dealt by their id to as many independent segmentations. With ``streams`` 0 every occurrence is
+    segmented by draws of its own, a hash of the seed, the row's id and text, and the draw's number.
+    A ``dropout`` of 0 gives the model's own encoding, 1 single
     characters. Characters without a piece are spelt in bytes. A null text counts as
     empty and has no ids. Rows are independent: nothing is shuffled, repeated rows give equal ids.
     """
     proto = _shared(docs.sparkSession, model)
-    stream: Column = F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(streams))
+    stream: Column = F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+    if streams:
+        stream = F.pmod(stream, F.lit(streams))
     kinds = "".join(f"c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(carry))
     rows = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)), F.col(text).alias("text"), stream.alias("stream"))
     out = rows.mapInArrow(_encode(proto, dropout, seed, streams), f"{kinds}ids array<int>, restored boolean")
@@ -207,4 +290,4 @@ def decode_ids(rows: DataFrame, model: str = MODEL, ids: str = "ids", carry: tup
 
 def op7_pieces(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return encode_texts(docs, dropout=0.1, seed=7).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "restored")
+    return encode_texts(docs, dropout=0.1, seed=7, streams=0).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "restored")

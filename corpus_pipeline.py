@@ -38,7 +38,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row's ids under merge-dropout, and whether they decode to its text."""
-    out = encode_texts(docs, dropout=0.1, seed=7, carry=("doc_id", "lang", "source"))
+    out = encode_texts(docs, dropout=0.1, seed=7, streams=0, carry=("doc_id", "lang", "source"))
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", "restored")
 
 

@@ -77,3 +77,40 @@ def test_documents_come_back_whole(spark, sf_docs):
     out = P.encode_texts(sf_docs, 0.1, seed=3)
     back = P.decode_ids(out).join(sf_docs.select("doc_id", F.col("text").alias("want")), "doc_id")
     assert back.filter("text = want").count() == sf_docs.count()
+
+
+def test_every_occurrence_draws_its_own_segmentation(vocabulary, library):
+    text = "information transformation notwithstanding understanding " * 30 + "x" * 200
+    drawn = P.Drawn(vocabulary, 0.1)
+
+    def ids(key, rate=0.1):
+        drawn.rate = rate
+        drawn.begin(key)
+        return np.frombuffer(vocabulary.encode(text, drawn), np.int32).tolist()
+
+    assert ids(1, 0.0) == library.encode(text) and len(ids(1, 1.0)) > len(text)
+    assert ids(1) == ids(1) != ids(2) and vocabulary.decode(ids(3)) == text
+    # The draws are those of one trial after another.
+    drawn.begin(5)
+    skips, n = {drawn.left}, drawn.left
+    while n < 10**5:
+        n += 1 + drawn.gap()
+        skips.add(n)
+    assert abs(len(skips) / n - 0.1) < 0.005
+    raw, at = b"", 0
+    for segment in vocabulary.cut.findall(P.SPACE + text.replace(" ", P.SPACE)):
+        turns = P.Turns(())
+        turns.skips = {x - at for x in skips if x >= at}
+        symbols = vocabulary._long(segment, 0, 0, turns)
+        raw, at = raw + vocabulary._raw(symbols), at + turns.n
+    assert np.frombuffer(raw, np.int32).tolist() == ids(5)
+
+
+def test_the_query_and_the_pipeline_segment_words_anew(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = documents(spark, [(i, "information transformation notwithstanding understanding " * 3) for i in range(40)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for out in (P.op7_pieces(spark, str(tmp_path)), corpus_pipeline.encoding(spark, docs, str(tmp_path))):
+        first, again = (sorted((r["doc_id"], tuple(r["ids"])) for r in x.filter("restored").collect()) for x in (out, out.repartition(3)))
+        assert first == again and len(first) == 40 and len({x for _, x in first}) > 30
