@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from civicspark.llm.alignment import op12_alignment
 from civicspark.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from civicspark.llm.html_text import op9_html_text
 from civicspark.llm.language_model import op10_language_model
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_language_model": op10_language_model,
+    "op12_alignment": op12_alignment,
 }
 ORACLE = {
     "op1_line_dedup": OP1_SQL,
