@@ -12,6 +12,8 @@ from civicspark.llm.mixing import OP2_SQL, op2_mix
 from civicspark.llm.neighbours import OP5_SQL, op5_near_vectors
 from civicspark.llm.passages import op4_passages
 from civicspark.llm.pieces import op7_pieces
+from civicspark.llm.search import OP13_SQL, op13_search
+from civicspark.llm.secrets import op11_secrets
 from civicspark.llm.toxicity import op8_toxicity
 
 QUERIES = {
@@ -25,7 +27,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_language_model": op10_language_model,
+    "op11_secrets": op11_secrets,
     "op12_alignment": op12_alignment,
+    "op13_search": op13_search,
 }
 ORACLE = {
     "op1_line_dedup": OP1_SQL,
@@ -33,4 +37,5 @@ ORACLE = {
     "op3_exact_dedup": OP3_SQL,
     "op5_near_vectors": OP5_SQL,
     "op6_minhash": OP6_SQL,
+    "op13_search": OP13_SQL,
 }
