@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from civicspark.llm.columns import floor_of_most
 from civicspark.llm.words import slices
 from civicspark.session import materialize
 
@@ -223,22 +224,10 @@ def pair_counts(aligned: DataFrame, b_size: int) -> DataFrame:
     return materialize(counts.join(top, "b").select("code", "n", (F.col("n") == F.col("most")).alias("best")), "pair_counts")
 
 
-def _front(counts: DataFrame, most: int) -> int:
-    """The least power of two such that at most ``most`` pairs have that count or a larger one."""
-    sizes = counts.groupBy(F.length(F.bin("n")).alias("bits")).agg(F.count(F.lit(1)).alias("n")).collect()
-    cut, total = 1 << 62, 0
-    for r in sorted(sizes, key=lambda r: -r["bits"]):
-        total += r["n"]
-        if total > most:
-            break
-        cut = 1 << (r["bits"] - 1)
-    return cut
-
-
 def link_measures(aligned: DataFrame, counts: DataFrame, front: int = FRONT) -> DataFrame:
     """(digest, n_best, count_sum) of each text. Frequent pairs find their counts in a bounded
     broadcast, so a text is one row before it is shuffled; its other pairs meet theirs in a join."""
-    cut = _front(counts, front)
+    cut = floor_of_most(counts, front)
     links = aligned.select("digest", F.explode(F.arrays_zip("codes", "times")).alias("p")).select("digest", F.col("p.codes").alias("code"), F.col("p.times").alias("times"))
     met = links.join(F.broadcast(counts.filter(F.col("n") >= cut)), "code", "left")
     part = met.groupBy("digest", F.when(F.col("n").isNull(), F.col("code")).alias("open")).agg(

@@ -38,6 +38,20 @@ def fresh(*frames: DataFrame) -> str:
             return name
 
 
+def floor_of_most(counts: DataFrame, most: int) -> int:
+    """A count ``n`` that at most ``most`` rows reach. The cuts are those of six leading bits, so the
+    rows are counted in some two thousand cells and the last, partly fitting cell is left out."""
+    cell = F.expr("shiftleft(shiftright(n, greatest(length(bin(n)) - 6, 0)), greatest(length(bin(n)) - 6, 0))")
+    cells = counts.groupBy(cell.alias("least")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    cut, total = 1 << 62, 0
+    for r in sorted(cells, key=lambda r: -r["least"]):
+        total += r["rows"]
+        if total > most:
+            break
+        cut = r["least"]
+    return cut
+
+
 #: Bits of the filter below: four megabytes once they are grouped in words.
 FILTER_BITS = 1 << 24
 

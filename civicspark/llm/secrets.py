@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from civicspark.llm.columns import whole
+from civicspark.llm.columns import floor_of_most, whole
+from civicspark.session import materialize
 
 # The known forms; upper and lower case count as one in the words of the first.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -101,12 +102,14 @@ class Novelty:
 
 
 def identifiers(docs: DataFrame, text: str = "text", entries: int = ENTRIES) -> list[str]:
-    """The commonest words and identifiers of all texts, a fixed number of them: words of letters,
-    and short ones with digits. Counted where they are read before they are shuffled."""
+    """The commonest words and identifiers of all texts, those that occur once left out: words of
+    letters, and short ones with digits. Counted where they are read before they are shuffled; only
+    those above a count that at most ``entries`` reach leave the cluster, the commonest first."""
     words = docs.select(F.explode(F.split(whole(text), r"[^\p{L}\p{N}]+")).alias("w"))
     fit = F.length("w").between(4, LONGEST_PLAIN) & (F.col("w").rlike(r"^\p{L}+$") | (F.length("w") <= LONGEST_MIXED) & F.col("w").rlike(r"^\p{L}"))
-    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(fit)
-    return [r["w"] for r in counts.orderBy(F.col("n").desc(), "w").limit(entries).collect()]
+    counts = materialize(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").filter(fit), "identifiers")
+    rows = counts.filter(F.col("n") >= floor_of_most(counts, entries)).collect()
+    return [r["w"] for r in sorted(rows, key=lambda r: (-r["n"], r["w"]))]
 
 
 def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", entries: list[str] | None = None, novel: float = NOVEL) -> DataFrame:
