@@ -2125,8 +2125,8 @@ MOVED = " UNION ALL ".join(
     ]
     + [
         f"""SELECT '{c}', 'baseline_drift_check', round(d, 6) FROM (SELECT max(abs(fa - fb)) AS d FROM (
-        SELECT sum(CAST(e AS INT)) OVER w / (SELECT count({c}) FROM early)::DOUBLE AS fa,
-        sum(CAST(NOT e AS INT)) OVER w / (SELECT count({c}) FROM late_rows)::DOUBLE AS fb FROM
+        SELECT sum(CAST(e AS INT)) OVER w / nullif((SELECT count({c}) FROM early), 0)::DOUBLE AS fa,
+        sum(CAST(NOT e AS INT)) OVER w / nullif((SELECT count({c}) FROM late_rows), 0)::DOUBLE AS fb FROM
         (SELECT {c} AS x, true AS e FROM early WHERE {c} IS NOT NULL UNION ALL
         SELECT {c}, false FROM late_rows WHERE {c} IS NOT NULL) WINDOW w AS (ORDER BY x))) WHERE d > 0.1"""
         for c in drift.NUMERIC

@@ -14,22 +14,33 @@ from civicspark.testbed.queries import ORACLE, QUERIES
 
 #: The package of text operators has its own tests; the model is fitted once per session.
 CHECKED = sorted(n for n in QUERIES if n in ORACLE)
+#: What these report is too rare for the smallest tables to have any.
+RARE = {"busy_vs_late", "check_bulk_close", "check_group_outliers", "drift_violations", "filter_min_n"}
 
 
 @pytest.fixture(scope="module")
-def duck(sf):
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-    return con
+def duck():
+    """A connection per folder of tables."""
+    kept = {}
+
+    def connect(folder):
+        if folder not in kept:
+            kept[folder] = duckdb.connect()
+            for t in TABLES:
+                kept[folder].execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+        return kept[folder]
+
+    return connect
 
 
 @pytest.mark.parametrize("name", CHECKED)
 def test_query_equals_sql(spark, sf, duck, name):
-    out = entry.queries()[name](spark, sf)
-    cur = duck.execute(entry.oracle_sql()[name])
+    folder = sf.replace("0.001", "0.01") if name in RARE else sf
+    out = entry.queries()[name](spark, folder)
+    cur = duck(folder).execute(entry.oracle_sql()[name])
     want = rows_of([c[0] for c in cur.description], cur.fetchall())
-    assert rows_of(out.columns, [tuple(r) for r in out.collect()]) == want and want
+    assert rows_of(out.columns, [tuple(r) for r in out.collect()]) == want
+    assert want, "nothing to compare: the query belongs in RARE"
 
 
 def test_the_model_reproduces_itself(spark, sf):
