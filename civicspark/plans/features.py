@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -181,6 +181,39 @@ def featurize(
     )
 
 
+def of_version(column: str, key: str) -> str:
+    """The name that a late rate under the thresholds of ``key`` has beside those of other versions."""
+    return f"{column}__{key}"
+
+
+def featurize_versions(
+    frame: DataFrame, raw: DataFrame, thresholds: dict, communities: DataFrame, holidays: DataFrame,
+    *, context: DataFrame | None = None, carry=(),
+) -> DataFrame:
+    """The features of several model versions in one pass over ``frame``.
+
+    ``thresholds`` maps a key to a version's own thresholds, on which its late rates depend; these
+    come back under :func:`of_version` names. All other features don't depend on them and come back
+    once. However many versions there are, their as-of questions share one join.
+    """
+    around = frame if context is None else context
+    histories = {key: build_history(raw, own, communities) for key, own in thresholds.items()}
+    asks, columns = _backlog_asks(around), dict(_backlog_columns())
+    for n, (key, history) in enumerate(histories.items()):
+        rates = tuple(replace(r, name=of_version(r.name, key)) for r in LATE_RATES)
+        asks += _late_asks(history, rates)
+        columns |= _late_columns(rates)
+        if n == 0:
+            asks += _ratio_asks(history)
+            columns |= _ratio_column()
+    out = _answer(attach_sector(frame, communities) if histories else frame, asks, columns)
+    out = add_calendar_features(out, holidays)
+    shared = FEATURE_SETS["baseline"] + (("cat_backlog_ratio",) if histories else ())
+    rates = tuple(of_version(r.name, key) for key in histories for r in LATE_RATES)
+    assert_no_leakage(shared)
+    return out.select("service_request_id", *shared, *rates, *carry)
+
+
 def category_levels(features: DataFrame, columns) -> DataFrame:
     """``(column, level)`` pairs the model was trained on."""
     pairs = F.explode(

@@ -29,6 +29,7 @@ from civicspark.plans import (
     scorecard,
     scoring,
 )
+from civicspark.plans import registry as versions
 from civicspark.schemas import CATEGORICAL, FEATURE_SETS, LEAKY_COLUMNS
 from civicspark.session import new_path
 from civicspark.settings import (
@@ -38,6 +39,7 @@ from civicspark.settings import (
     LateRate,
     PromotionSettings,
     ScorecardSettings,
+    USAGE,
 )
 from civicspark.sources import requests as raw_zone
 from civicspark.sources import snapshots, tables
@@ -1899,21 +1901,75 @@ def promotion_gate(spark, d):
     return champion.promotion_gate(rows, PromotionSettings()).select("version", "promoted")
 
 
+GROUP = "late-risk"
+
+
+def model_registry(spark, d) -> DataFrame:
+    """A registry on disk with two stored versions: a smaller approved one with the baseline features,
+    then the challenger, recorded as pending."""
+    key = (spark.sparkContext.applicationId, d, "model-registry")
+    if key not in adapter._built:
+        done, train_x, _, m = fitted(spark, d)
+        base = new_path(spark, "versions")
+        older = model.train(train_x.select(ID, *FEATURE_SETS["baseline"], "breach"), done.thresholds, "baseline", maxIter=20)
+        for version, stored in ((1, older), (2, m)):
+            model.save(stored, f"{base}/{version}", {"rows": 0.0})
+        entry = F.struct(F.lit(GROUP).alias("model_group"), "version", "status", "created", F.lit(USAGE).alias("usage"), F.col("version").cast("string").alias("run"), "path", "recorded")
+        shape = "version long, status string, created timestamp, path string, recorded timestamp"
+        for row in ((1, "PendingManualApproval", 1), (1, "Approved", 2), (2, "PendingManualApproval", 3)):
+            when = F.timestamp_seconds(F.lit(978_307_200 + 86_400 * row[2]))
+            one = spark.createDataFrame([(row[0], row[1], None, f"{base}/{row[0]}", None)], shape)
+            versions.record(one.withColumns({"created": when, "recorded": when}).select(entry.alias("e")).select("e.*"), f"{base}/registry")
+        adapter._built[key] = f"{base}/registry"
+    return versions.read_registry(spark, adapter._built[key])
+
+
+def compared(spark, d):
+    """The fitted challenger against the stored champion, both over the same holdout rows."""
+    key = (spark.sparkContext.applicationId, d, "compared")
+    if key not in adapter._built:
+        done, _, _, m = fitted(spark, d)
+        adapter._built[key] = versions.compare(
+            model_registry(spark, d), GROUP, m, done.test, adapter.requests(spark, d), adapter.communities(spark, d),
+            adapter.holidays(spark, d), carry=("breach", "comm_code"),
+        )
+    return adapter._built[key]
+
+
+@query("version_scores")
+def version_scores(spark, d):
+    """Every holdout row under both versions: features computed once, each version's own columns."""
+    return compared(spark, d)[0].select(ID, "breach", six("pred_challenger"), six("pred_champion"))
+
+
+@query(
+    "champion_versions",
+    """SELECT event_type AS model_group, arg_max(event_id, ts) AS version, 'models/' || arg_max(event_id, ts) AS path
+    FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0 GROUP BY 1""",
+)
+def champion_versions(spark, d):
+    """The stored version that each group's challenger has to beat, from a registry to which approvals
+    were appended later."""
+    path = new_path(adapter.prepare(spark), "registry")
+    rows = registry(spark, d).withColumn("path", F.concat(F.lit("models/"), F.col("version").cast("string")))
+    versions.record(rows.withColumn("recorded", F.col("created")), path)
+    later = rows.where(F.col("version") % 11 == 0).withColumns({"status": F.lit("Approved"), "recorded": F.col("created") + F.expr("INTERVAL 1 DAY")})
+    versions.record(later, path)
+    return champion.latest_approved(versions.read_registry(spark, path)).select("model_group", "version", "path")
+
+
 @query("promotion_run")
 def promotion_run(spark, d):
-    """Train, evaluate, judge fairness, rescore the champion on the same rows, and gate: one row
+    """Train, evaluate, judge fairness, rescore the stored champion on the same rows, and gate: one row
     of measured figures with the verdict."""
-    _, _, test_x, m = fitted(spark, d)
-    scored = adapter.materialize(m.predict(test_x), "evaluated")
+    scores, margin = compared(spark, d)
+    scored = scores.withColumnRenamed("pred_challenger", "pred")
     found = metrics.evaluate(scored)
     fair_ = fairness.fairness_report(scored, adapter.communities(spark, d), SMALL_FAIR).overall
-    champion_scores = metrics.average_precision(scored.withColumn("pred", adapter.synthetic_score()))
-    challenger = spark.createDataFrame([(found["pr_auc"], found["roc_auc"])], "pr_auc double, roc_auc double")
-    margin = champion.champion_margin(challenger, champion_scores).first()
+    own = margin.first()
     row = fair_.select(
         F.lit(found["pr_auc"]).alias("pr_auc"), F.lit(found["roc_auc"]).alias("roc_auc"), "recall_ratio", "min_group_lift",
-        F.lit(margin["champion_exists"]).alias("champion_exists"), F.lit(margin["champion_pr_auc"]).alias("champion_pr_auc"),
-        F.lit(margin["margin"]).alias("margin"), F.col("problems"),
+        *[F.lit(own[c]).alias(c) for c in ("champion_exists", "champion_version", "champion_pr_auc", "margin")], F.col("problems"),
     )
     return champion.promotion_gate(row, PromotionSettings())
 
