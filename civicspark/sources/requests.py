@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from civicspark.schemas import ALLOWED_COLUMNS, COORDINATE_COLUMNS, DATE_COLUMNS, RAW_REQUESTS
 from civicspark.session import materialize
-
-PARTITIONS = ("year", "month")
+from civicspark.sources.published import PARTITIONS, is_published, publish, read_published
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -67,15 +66,16 @@ def write_processed(df: DataFrame, path: str, rows_per_file: int = 5_000_000) ->
     )
 
 
-def rebuild_processed(spark: SparkSession, raw_path: str, path: str, *, unique: bool = False) -> None:
-    """The processed table from one raw snapshot; an older build is replaced, never added to."""
+def rebuild_processed(spark: SparkSession, raw_path: str, path: str, *, unique: bool = False) -> DataFrame:
+    """The processed table from one raw snapshot, published whole: readers see the older build until the
+    new one is there, and only months that differ are written. Returns the state of each month."""
     typed = derive_partitions(cast_intake(privacy_projection(read_raw(spark, raw_path))))
-    write_processed(dedupe(typed) if unique else typed, path)
+    return publish(dedupe(typed) if unique else typed, path)
 
 
 def load_requests(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """The processed table without its storage columns; ``since`` prunes whole months first."""
-    df = spark.read.parquet(path)
+    df = read_published(spark, path, since) if is_published(spark, path) else spark.read.parquet(path)
     if since is not None:
         day = F.lit(since).cast("date")
         ym = F.col("year") * 100 + F.col("month")

@@ -24,7 +24,8 @@ def latest_asof(spark: SparkSession, base: str) -> DataFrame:
 
 
 def replay(spark: SparkSession, base: str, processed: str, asof: str | None = None, *, unique: bool = False) -> str:
-    """Rebuild the processed table from a chosen (by default the newest) raw snapshot."""
+    """Rebuild the processed table from a chosen (by default the newest) raw snapshot; months that are
+    the same in both are left as they are."""
     label = asof or latest_asof(spark, base).first()["asof"]
     if label is None:
         raise FileNotFoundError(f"no snapshots under {base}")

@@ -42,7 +42,7 @@ from civicspark.settings import (
     USAGE,
 )
 from civicspark.sources import requests as raw_zone
-from civicspark.sources import snapshots, tables
+from civicspark.sources import catalog, paging, published, snapshots, tables
 from civicspark.testbed import adapter
 from civicspark.testbed.oracle import DAY, sql
 
@@ -213,10 +213,75 @@ def rebuild_processed(spark, d):
     path = new_path(adapter.prepare(spark), "rebuilt")
     for _ in range(2):  # the second build replaces the first
         raw_zone.rebuild_processed(spark, raw_base(spark, d), path, unique=True)
-    stored = spark.read.parquet(path).select(*[F.col(c).cast("long").alias(c) for c in raw_zone.PARTITIONS])
+    stored = published.read_published(spark, path).select(*[F.col(c).cast("long").alias(c) for c in raw_zone.PARTITIONS])
     return stored.groupBy(*raw_zone.PARTITIONS).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "changed_months",
+    sql(
+        """SELECT year(requested_date)::BIGINT AS year, month(requested_date)::BIGINT AS month, count(*) AS rows,
+        CASE WHEN min(requested_date) > TIMESTAMP '2000-01-01' THEN 'new'
+        WHEN max(requested_date) <= TIMESTAMP '2000-01-01' AND coalesce(max(closed_date) <= TIMESTAMP '2000-01-01', true) THEN 'kept'
+        ELSE 'changed' END AS state FROM requests GROUP BY 1, 2""",
+        "requests",
+    ),
+)
+def changed_months(spark, d):
+    """What a later snapshot rewrites of the table that an earlier one left."""
+    path, rows = new_path(adapter.prepare(spark), "published"), adapter.requests(spark, d)
+    for snapshot in (adapter.known_at(rows, adapter.run_micros(spark, "2000-01-01")), rows):
+        report = published.publish(raw_zone.derive_partitions(snapshot), path)
+    return report.select(F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), "rows", "state")
+
+
+@query(
+    "published_rows",
+    sql(f"SELECT service_request_id, {REQ}, {CLO} FROM requests WHERE requested_date >= TIMESTAMP '1998-06-01'", "requests"),
+)
+def published_rows(spark, d):
+    """The rows that readers see after three builds, from the folders of more than one of them."""
+    path, rows = new_path(adapter.prepare(spark), "published"), adapter.requests(spark, d)
+    early = rows.where(F.col("requested_date") < F.lit("1999-01-01").cast("timestamp"))
+    for snapshot in (early, adapter.known_at(rows, adapter.run_micros(spark, "2000-01-01")), rows):
+        published.publish(raw_zone.derive_partitions(snapshot), path)
+    out = published.read_published(spark, path, since="1998-06-01")
+    return out.select(ID, stamp_text("requested_date"), stamp_text("closed_date"))
+
+
+LINES = "l_orderkey long, l_linenumber long, l_extendedprice double"
+
+
+def pulled_lines(spark, d) -> tuple[str, DataFrame]:
+    """The order lines pulled as a feed by their order, a key of several rows: stopped after the first
+    wave, then taken up again."""
+    path, lines = new_path(adapter.prepare(spark), "pull"), adapter.table(spark, d, "lineitem")
+    key = "l_orderkey"
+    shape = lines.select(F.col(key).cast("long").alias(key), F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_extendedprice").schema
+    feed = paging.FolderFeed(f"{d.rstrip('/')}/lineitem.parquet", key, tuple(shape.names))
+    size = max(50, lines.count() // 40)
+    for waves in (1, None):
+        paging.pull(
+            spark, feed, lines.select(key), key, shape, path, rows_per_range=size, page_size=max(7, size // 9), ranges_per_wave=16, waves=waves
+        )
+    return path, lines.select(key)
+
+
+@query("paged_pull", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_extendedprice FROM lineitem")
+def paged_pull(spark, d):
+    return paging.read_pull(spark, pulled_lines(spark, d)[0])
+
+
+@query(
+    "pull_audit",
+    "SELECT count(*) AS stored, count(*) AS logged, count(*) AS there, true AS complete, max(l_orderkey) AS high FROM lineitem",
+)
+def pull_audit(spark, d):
+    path, keys = pulled_lines(spark, d)
+    top = paging.read_pull(spark, path).agg(F.max("l_orderkey").alias("high"))
+    return paging.audit(spark, path, keys).drop("waves").crossJoin(top)
+
+
 @query(
     "load_requests",
     sql(
@@ -326,6 +391,56 @@ def write_scores(spark, d):
     )
 
 
+def catalogued(spark, d) -> dict[str, str]:
+    """Both runs in a catalog table, the first one stored again, and the views over it."""
+    key = (spark.sparkContext.applicationId, d, "catalog")
+    if key not in adapter._built:
+        mark = f"t{abs(hash(key)):x}"
+        stored, scored, filed = adapter.scores(spark, d), f"scores_{mark}", f"requests_{mark}"
+        catalog.create_scores_table(spark, scored, new_path(spark, "catalog-scores"))
+        for run in (*adapter.RUNS, adapter.RUNS[0]):
+            catalog.insert_run(stored.where(F.col("asof") == run), scored, run)
+        catalog.create_requests_table(spark, filed, adapter.requests(spark, d), new_path(spark, "catalog-requests"))
+        adapter._built[key] = {"scores": scored, **catalog.create_views(spark, scored, filed, mark)}
+    return adapter._built[key]
+
+
+@query(
+    "catalog_scores",
+    sql('SELECT run AS "asof", count(*) AS n, sum(CAST(flagged AS INT))::BIGINT AS flagged FROM scores GROUP BY 1', "scores"),
+)
+def catalog_scores(spark, d):
+    return spark.sql(f"SELECT `asof`, count(*) AS n, count_if(flagged) AS flagged FROM {catalogued(spark, d)['scores']} GROUP BY 1")
+
+
+@query(
+    "outcomes_view",
+    sql(
+        f"""SELECT usage, scored_asof, service_request_id, sector, srg, round(score, 6) AS score,
+        rank_in_sector::BIGINT AS rank_in_sector, flagged, {DUE}, {CLO}, outcome FROM outcomes""",
+        "outcomes",
+    ),
+)
+def outcomes_view(spark, d):
+    return spark.table(catalogued(spark, d)["outcomes"]).select(
+        "usage", "scored_asof", ID, "sector", "srg", six("score"), "rank_in_sector", "flagged",
+        stamp_text("deadline"), stamp_text("closed_date"), "outcome",
+    )
+
+
+@query(
+    "grade_view",
+    sql(
+        """SELECT usage, flagged, count(*) AS requests, sum(CASE WHEN outcome = 'late' THEN 1 ELSE 0 END)::BIGINT AS late,
+        round(avg(CASE WHEN outcome = 'late' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 3) AS late_rate
+        FROM cohort GROUP BY 1, 2""",
+        "cohort",
+    ),
+)
+def grade_view(spark, d):
+    return spark.table(catalogued(spark, d)["grade"])
+
+
 @query(
     "load_metrics",
     sql(
