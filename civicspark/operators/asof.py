@@ -103,18 +103,16 @@ def _probes(points: DataFrame, asks) -> DataFrame:
     return moments.selectExpr("_q", "_k", "_own", f"inline(CASE _q {marks} END)")
 
 
-def _sliced(line: DataFrame, asks) -> DataFrame:
-    """Adds ``_cut``, the start of the slice that a moment is in.
+def _sliced(line: DataFrame, keys, at: str, width: str) -> DataFrame:
+    """Adds ``_cut``, the start of the slice that a moment is in; ``width`` is the SQL of its length.
 
     A slice that holds more than ``SLICE_ROWS`` moments, as in a burst, is cut in 64, and so on
     down to a microsecond; the counts decide, so no (key, slice) grows with the data. The place
     of a moment is a function of its time alone.
     """
-    coarse = ", ".join(str(q) for q, a in enumerate(asks) if a.events.unit == "seconds") or "-1"
-    width = f"CASE WHEN _q IN ({coarse}) THEN {SECONDS_SLICE}L ELSE {MICROS_SLICE}L END"
-    place = F.expr("coalesce(_at - pmod(_at, _width), 0L)")  # never null, see ordered._slice
+    place = F.expr(f"coalesce({at} - pmod({at}, _width), 0L)")  # never null, see ordered._slice
     cut = line.withColumn("_width", F.expr(width)).withColumn("_cut", place)
-    here = ["_q", "_k", "_cut", "_width"]
+    here = [*keys, "_cut", "_width"]
     while True:
         dense = cut.groupBy(*here).agg(F.count(F.lit(1)).alias("_m")).where((F.col("_m") > SLICE_ROWS) & (F.col("_width") > 1))
         dense = materialize(dense.select(*here, F.lit(True).alias("_dense")), "dense-slices")
@@ -131,7 +129,9 @@ def _totals(facts: DataFrame, probes: DataFrame, asks, closed: str) -> DataFrame
     ).unionByName(
         probes.selectExpr("_q", "_k", "_at", "0L AS n", "0D AS s", "_own", "_mark")
     )
-    line = _sliced(materialize(line, "moments"), asks)
+    coarse = ", ".join(str(q) for q, a in enumerate(asks) if a.events.unit == "seconds") or "-1"
+    width = f"CASE WHEN _q IN ({coarse}) THEN {SECONDS_SLICE}L ELSE {MICROS_SLICE}L END"
+    line = _sliced(materialize(line, "moments"), ["_q", "_k"], "_at", width)
     here = ["_q", "_k", "_cut"]
     inside = (
         Window.partitionBy(*here)
@@ -222,7 +222,8 @@ def last_before(
     """``rows`` plus the ``value`` of the newest same-key event at or before the row's time.
 
     Of several events at one instant the largest ``value`` counts. The last value of each
-    slice is carried forward in a small window over slices.
+    slice is carried forward in a small window over slices; a slice that a burst fills is cut
+    further, by its count.
     """
     names = _names(keys)
     facts = (
@@ -239,8 +240,8 @@ def last_before(
             asked.select(*names, "_t").distinct().withColumn("_ask", F.lit(1)),
             allowMissingColumns=True,
         )
-        .withColumn("_cut", F.expr(f"coalesce(floor(_t / {slice_micros}), 0L)"))
     )
+    line = _sliced(materialize(line, "moments"), names, "_t", f"{slice_micros}L")
     inside = (
         Window.partitionBy(*names, "_cut").orderBy("_t", "_ask")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

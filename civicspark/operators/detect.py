@@ -6,10 +6,12 @@ number of months.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.operators.ordered import distribution, order_statistics
+from civicspark.operators.ordered import distribution, order_statistics, running_before
 from civicspark.session import materialize
 from civicspark.settings import ControlSettings
 
@@ -60,6 +62,45 @@ def seasonal_residuals(
     return df.withColumn(name, F.col(value) - F.avg(value).over(earlier))
 
 
+#: Points of a block, at most, and how far the powers of the decay may stretch within one.
+BLOCK, STRETCH = 4096, 250.0
+
+
+def decaying_sum(df: DataFrame, keys, index: str, value: str, decay: float, longest: int, name: str = "sum") -> DataFrame:
+    """Adds ``name``: ``s_i = decay * s_(i-1) + value_i`` along each series, with nothing before the first.
+
+    ``index`` numbers a series' points from 0 without gaps. The step is an affine map, and maps
+    compose: blocks of points are summed side by side, the blocks' own totals are a series with the
+    decay of a whole block, and are summed the same way; then every point adds what its block
+    was handed. A window never holds more than a block, whatever the length of a series (``longest``).
+    """
+    if decay == 0.0:
+        return df.withColumn(name, F.col(value))
+    size = int(max(2, min(BLOCK, STRETCH / -math.log10(decay)))) if decay < 1.0 else BLOCK
+    # inside a block, the powers of the decay turn the recursion into a running sum
+    own = df.withColumns({"_block": F.expr(f"`{index}` div {size}"), "_place": F.col(index) % size})
+    power = F.pow(F.lit(decay), F.col("_place").cast("double"))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = own.withColumn("_own", F.sum(F.col(value) / power).over(inside) * power)
+    if longest <= size:
+        return own.withColumn(name, F.col("_own")).drop("_block", "_place", "_own")
+    ends = own.where(F.col("_place") == size - 1).select(*keys, F.col("_block").alias("_index"), F.col("_own").alias("_total"))
+    ends = materialize(ends, "block-totals")
+    handed = decaying_sum(ends, keys, "_index", "_total", decay**size, longest // size, "_sum")
+    handed = handed.select(*keys, (F.col("_index") + 1).alias("_block"), F.col("_sum").alias("_handed"))
+    both = own.join(handed, [*keys, "_block"], "left")
+    carried = F.coalesce(F.col("_handed"), F.lit(0.0)) * power * decay
+    return both.withColumn(name, F.col("_own") + carried).drop("_block", "_place", "_own", "_handed")
+
+
+def _numbered(df: DataFrame, keys, order: str) -> DataFrame:
+    """Adds ``_i``, each row's place in its series from 0; slices are parts of the series' own range."""
+    at = df.withColumn("_at", F.unix_micros(F.col(order).cast("timestamp")).cast("double"))
+    span = at.groupBy(*keys).agg(((F.max("_at") - F.min("_at")) / 4096 + 1.0).alias("_width"))
+    line = at.select(*keys, "_at").withColumn("_one", F.lit(1)).join(span, keys)
+    return at.join(running_before(line, keys, "_at", ["_one"], width="_width", prefix="_i_").select(*keys, "_at", F.col("_i__one").alias("_i")), [*keys, "_at"]).drop("_at")
+
+
 def ewma_flags(
     df: DataFrame, keys, month: str = "month", value: str = "residual", name: str = "ewma_flag",
     settings: ControlSettings | None = None,
@@ -67,50 +108,25 @@ def ewma_flags(
     """True where the EWMA of ``value`` leaves its control limits.
 
     Mean and sigma come from the first ``min_points`` non-null points. The recursion
-    ``z = w x + (1 - w) z`` runs as a fold over each series' ordered points.
+    ``z = w x + (1 - w) z`` starts at the mean and is summed block by block.
     """
-    s = settings or ControlSettings()
-    w = s.weight
-    series = df.groupBy(*keys).agg(
-        F.array_sort(
-            F.collect_list(
-                F.when(F.col(value).isNotNull(), F.struct(F.col(month).alias("m"), F.col(value).cast("double").alias("v")))
-            )
-        ).alias("_points")
-    )
-    base = F.slice("_points", 1, s.min_points)
-
-    def total(part, term):
-        return F.aggregate(part, F.lit(0.0), lambda acc, p: acc + term(p["v"]))
-
-    series = series.withColumn("_mu", total(base, lambda v: v) / float(s.min_points))
-    series = series.withColumn(
-        "_sigma",
-        F.sqrt(total(base, lambda v: F.pow(v - F.col("_mu"), F.lit(2.0))) / float(s.min_points - 1)),
-    ).where((F.size("_points") >= s.min_points) & (F.col("_sigma") > 0))
-    walked = F.aggregate(
-        "_points",
-        F.expr("CAST(array() AS array<double>)"),
-        lambda acc, p: F.array_append(
-            acc,
-            F.lit(w) * p["v"]
-            + F.lit(1.0 - w) * F.coalesce(F.try_element_at(acc, F.lit(-1)), F.col("_mu")),
-        ),
-    )
-    spread = F.lit(w / (2.0 - w)) * (1.0 - F.pow(F.lit(1.0 - w), 2.0 * (F.col("_i") + 1)))
-    chart = (
-        series.withColumn("_z", walked)
-        .select(*keys, "_mu", "_sigma", "_points", F.posexplode("_z").alias("_i", "_zi"))
-        .select(
-            *keys,
-            F.col("_points")[F.col("_i")]["m"].alias(month),
-            (
-                F.abs(F.col("_zi") - F.col("_mu"))
-                > F.lit(s.limit) * F.col("_sigma") * F.sqrt(spread)
-            ).alias(name),
-        )
-    )
-    return df.join(chart, [*keys, month], "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    s, keys = settings or ControlSettings(), list(keys)
+    w, decay = s.weight, 1.0 - s.weight
+    present = df.where(F.col(value).isNotNull()).select(*keys, month, F.col(value).cast("double").alias("_x"))
+    points = materialize(_numbered(present, keys, month), "points")
+    early = F.when(F.col("_i") < s.min_points, F.col("_x"))
+    base = points.groupBy(*keys).agg(F.avg(early).alias("_mu"), F.stddev_samp(early).alias("_sigma"), F.count(F.lit(1)).alias("_n"))
+    base = materialize(base.where((F.col("_n") >= s.min_points) & (F.col("_sigma") > 0)), "limits")
+    longest = base.agg(F.max("_n")).first()[0]
+    if longest is None:
+        return df.withColumn(name, F.lit(False))
+    charted = points.join(base, keys).withColumn("_u", F.lit(w) * F.col("_x"))
+    summed = decaying_sum(charted, keys, "_i", "_u", decay, longest, "_s")
+    steps = F.col("_i").cast("double") + 1.0
+    z = F.col("_s") + F.pow(F.lit(decay), steps) * F.col("_mu")
+    spread = F.lit(w / (2.0 - w)) * (1.0 - F.pow(F.lit(decay), 2.0 * steps))
+    out = F.abs(z - F.col("_mu")) > F.lit(s.limit) * F.col("_sigma") * F.sqrt(spread)
+    return df.join(summed.select(*keys, month, out.alias(name)), [*keys, month], "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def sustained(

@@ -38,6 +38,15 @@ def _slice(order: str, width: float | str) -> Column:
     return F.expr(f"coalesce(floor(`{order}` / {unit}), 0L)")
 
 
+#: Cells that a digit tells apart.
+DIGIT = 1 << 16
+
+
+def _digit(start: str, unit: str) -> Column:
+    """The cell of ``value`` from ``start`` on; it never falls as the value grows."""
+    return F.expr(f"CAST(greatest(least(floor((CAST(value AS double) - ({start})) / {unit}), {DIGIT - 1}), 0) AS bigint)")
+
+
 def _quoted(names) -> list[str]:
     return [f"`{n}`" for n in names]
 
@@ -63,43 +72,57 @@ def running_before(
     )
 
 
-def order_statistics(dist: DataFrame, keys, ranks: dict, *, width: float) -> DataFrame:
+def _located(cells: DataFrame, keys, ranks: DataFrame | str, cut: str) -> DataFrame:
+    """Which cell of each key (and question) holds the wanted rank, and the rank inside it."""
+    earlier = Window.partitionBy(*keys).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    before = cells.withColumn("_b", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
+    if isinstance(ranks, str):
+        before = before.withColumn("rows", F.sum("_m").over(Window.partitionBy(*keys))).selectExpr("*", f"inline(array({ranks}))")
+    return before.where("_at >= _b AND _at < _b + _m").withColumn("_at", F.col("_at") - F.col("_b")).drop("_b", "_m")
+
+
+def _matching(left: list[str], right: DataFrame, names: list[str]) -> tuple[DataFrame, Column]:
+    """``right`` under names of its own, and the null-safe condition that joins it."""
+    renamed = right.withColumnsRenamed({n: f"_r_{n}" for n in names})
+    return renamed, F.expr(" AND ".join(f"`{n}` <=> `_r_{n}`" for n in left))
+
+
+def order_statistics(dist: DataFrame, keys, ranks: dict, *, width: float | str | None = None) -> DataFrame:
     """The values at given 0-based ranks of each key, plus the key's ``rows``.
 
     ``dist`` comes from :func:`distribution`; ``ranks`` maps an output column to an SQL
-    expression over ``rows``. Slice counts locate the slice that holds each rank, and only
-    the values of those slices are ordered.
+    expression over ``rows``. Cell counts locate the cell that holds each rank, and only what is
+    in it is looked at again. Without a ``width`` the cells are digits of the place in the key's own
+    range, two of 16 bits: whatever the range and however many values there are, no window sees
+    more than 65,536 cells, and the last one only the values of a 2**32nd part of the range.
     """
-    cut = dist.withColumn("_cut", _slice("value", width))
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    keys = list(keys)
     wanted = ", ".join(f"struct('{k}' AS _what, CAST({r} AS bigint) AS _at)" for k, r in ranks.items())
-    found = (
-        cut.groupBy(*keys, "_cut")
-        .agg(F.sum("n").alias("_m"))
-        .select("*", F.sum("_m").over(group).alias("rows"), F.sum("_m").over(earlier).alias("_b"))
-        .selectExpr(*_quoted(keys), "_cut", "_m", "rows", "coalesce(_b, 0) AS _b", f"inline(array({wanted}))")
-        .where("_at >= _b AND _at < _b + _m")
-        .selectExpr(*[f"`{k}` AS `_k_{k}`" for k in keys], "_cut AS _k__cut", "rows", "_what", "_at - _b AS _at")
-    )
-    same = F.expr(" AND ".join(["_cut = _k__cut", *[f"`{k}` <=> `_k_{k}`" for k in keys]]))
-    upto = (
-        Window.partitionBy(*keys, "_what")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    hit = (
-        cut.join(found, same)
-        .select(*keys, "value", "n", "rows", "_what", "_at", F.sum("n").over(upto).alias("_upto"))
-        .where("_at < _upto AND _at >= _upto - n")
-    )
+    if width is not None:
+        cut = dist.withColumn("_cut", _slice("value", width))
+    else:
+        span = dist.groupBy(*keys).agg(F.min("value").cast("double").alias("_lo"), F.max("value").cast("double").alias("_hi"))
+        unit = F.coalesce(F.nullif((F.col("_hi") - F.col("_lo")) / DIGIT, F.lit(0.0)), F.lit(1.0))
+        spans, same = _matching(keys, span.select(*keys, "_lo", unit.alias("_unit")), keys) if keys else (span.select("_lo", unit.alias("_unit")), F.lit(True))
+        cut = dist.join(spans, same).drop(*[f"_r_{k}" for k in keys]).withColumn("_cut", _digit("_lo", "_unit"))
+    found = _located(cut.groupBy(*keys, "_cut").agg(F.sum("n").alias("_m")), keys, wanted, "_cut")
+    found, same = _matching([*keys, "_cut"], found, [*keys, "_cut"])
+    held = cut.join(found, same).drop(*[f"_r_{k}" for k in (*keys, "_cut")])
+    here = [*keys, "_what"]
+    if width is None:
+        finer = held.withColumn("_cut", _digit("_lo + _cut * _unit", f"(_unit / {DIGIT})"))
+        cells = finer.groupBy(*here, "_cut").agg(F.sum("n").alias("_m"), F.max("_at").alias("_at"))
+        found, same = _matching([*here, "_cut"], _located(cells, here, finer, "_cut").select(*here, "_cut", "_at"), [*here, "_cut", "_at"])
+        held = finer.drop("_at").join(found, same).withColumnRenamed("_r__at", "_at")
+    upto = Window.partitionBy(*here).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = held.select(*keys, "value", "n", "rows", "_what", "_at", F.sum("n").over(upto).alias("_upto")).where("_at < _upto AND _at >= _upto - n")
     return hit.groupBy(*keys).agg(
         F.max("rows").alias("rows"),
         *[F.expr(f"max(value) FILTER (WHERE _what = '{k}')").alias(k) for k in ranks],
     )
 
 
-def quantiles(dist: DataFrame, keys, points: dict, *, width: float) -> DataFrame:
+def quantiles(dist: DataFrame, keys, points: dict, *, width: float | str | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles: ``points`` maps an output column to a fraction."""
     ranks, out = {}, []
     for name, q in points.items():
@@ -111,12 +134,12 @@ def quantiles(dist: DataFrame, keys, points: dict, *, width: float) -> DataFrame
 
 def rank_rows(
     df: DataFrame, keys, score: str, row_id: str, *, width: float = SCORE_WIDTH,
-    name: str = "rank", descending: bool = True,
+    name: str = "rank", descending: bool = True, parts: int = 3,
 ) -> DataFrame:
     """Add the 1-based rank of each row in its keys by ``score``; ties go by ``md5(row_id)``.
 
     The digest gives ties a fixed order that also splits them: a tie that holds most of a
-    key is numbered in 4,096 parts. A null key ranks on its own; a null score ranks last.
+    key is numbered in 16**``parts`` parts, 4,096 by default. A null key ranks on its own; a null score ranks last.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     order = -F.col(score) if descending else F.col(score)
@@ -130,13 +153,13 @@ def rank_rows(
             "_o": F.coalesce(order.cast("double"), F.lit(float(1 << 40))),
             "_d": F.coalesce(digest, F.lit("")),
         }
-    ).withColumn("_p", F.substring("_d", 1, 3))
+    ).withColumn("_p", F.substring("_d", 1, parts))
     cells = tagged.groupBy(*names, "_o", "_p").agg(F.count(F.lit(1)).alias("n"))
     ties = cells.groupBy(*names, "_o").agg(F.sum("n").alias("n"))
     base = running_before(ties, names, "_o", ["n"], width=width).select(*names, "_o", "before_n")
-    parts = Window.partitionBy(*names, "_o").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*names, "_o").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        cells.withColumn("_tie", F.coalesce(F.sum("n").over(parts), F.lit(0)))
+        cells.withColumn("_tie", F.coalesce(F.sum("n").over(within), F.lit(0)))
         .join(base, [*names, "_o"])
         .select(*names, "_o", "_p", (F.col("_tie") + F.col("before_n")).alias("_start"))
     )
@@ -149,17 +172,38 @@ def rank_rows(
     )
 
 
+def parts_for(rows: int, most: int = 1 << 20) -> int:
+    """Digits of a digest that cut ``rows`` rows in parts of about ``most`` or fewer."""
+    parts = 1
+    while rows > most << 4 * parts:
+        parts += 1
+    return parts
+
+
+def _lowest(df: DataFrame, digest: Column, n: int, name: str) -> tuple[DataFrame, DataFrame, int]:
+    """Of ``df`` the rows below the ``n``-th smallest digest, those that share it, and how many of these
+    are still wanted. The digest has 52 bits, so a double holds it exactly."""
+    keyed = df.withColumn(name, digest)
+    cut = order_statistics(distribution(keyed, [], name), [], {"cut": f"least({n}, rows) - 1"}).first()
+    edge = F.lit(cut["cut"] if cut and cut["cut"] is not None else -1)
+    below = keyed.where(F.col(name) < edge)
+    return below.drop(name), keyed.where(F.col(name) == edge).drop(name), n - below.count()
+
+
 def sample_exactly(df: DataFrame, n: int, row_id: str, seed: int, name: str = "_h") -> DataFrame:
-    """``n`` rows picked by a seeded digest of the id; the same rows every time.
+    """``n`` rows (or all, if there are fewer) picked by a seeded digest of the id; the same every time.
 
-    The cut-off digest is an order statistic, so nothing is sorted whole or sent to the driver.
+    The cut-off digest is an order statistic, so nothing is sorted whole or sent to the driver. Rows
+    that share it, those of a repeated id, are told apart by a digest of all their columns; rows
+    that are alike in every column can stand for each other.
     """
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")).cast("binary"))
-    keyed = df.withColumn(name, F.conv(F.substring(digest, 1, 13), 16, 10).cast("long"))
-    dist = distribution(keyed, [], name)
-    cut = order_statistics(
-        dist, [], {"cut": f"least({n}, rows) - 1"}, width=float(1 << 26)
-    ).first()
-    if cut is None or cut["cut"] is None:
+    if n <= 0:
         return df.limit(0)
-    return keyed.where(F.col(name) <= F.lit(cut["cut"])).drop(name)
+    text = F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"))
+    digest = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
+    below, edge, wanted = _lowest(df, digest, n, name)
+    if edge.limit(wanted + 1).count() <= wanted:
+        return below.unionByName(edge)
+    row = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns], *[F.col(c).isNull() for c in df.columns])
+    first, alike, wanted = _lowest(edge, F.shiftrightunsigned(row, 12), wanted, name)
+    return below.unionByName(first).unionByName(alike.limit(wanted))

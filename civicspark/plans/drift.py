@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions import dates
 from civicspark.functions.text import contains_text, department
-from civicspark.operators.ordered import quantiles, rank_rows, running_before, sample_exactly
+from civicspark.operators.ordered import parts_for, quantiles, rank_rows, running_before, sample_exactly
 from civicspark.plans.features import featurize
 from civicspark.plans.labels import Labels, assert_no_leakage, recent
 from civicspark.plans.scoring import context_frame
@@ -73,7 +73,8 @@ def inject(df: DataFrame, pattern: str, share: float, row_id: str = "service_req
         raise ValueError(f"{n - n_hit} rows without {pattern!r} wanted, {n - k} there: share {share} is below the present {k / n:.4f}")
     hits = materialize(
         rank_rows(
-            marked.where(F.col("_hit")).withColumn("_zero", F.lit(0.0)), [], "_zero", row_id, name="_i"
+            marked.where(F.col("_hit")).withColumn("_zero", F.lit(0.0)), [], "_zero", row_id, name="_i",
+            parts=parts_for(k),
         ).drop("_zero", "_hit"),
         "hits",
     )
@@ -114,8 +115,8 @@ def _with_width(numbers: DataFrame) -> DataFrame:
 def profile(df: DataFrame, numeric, categorical) -> DataFrame:
     """Per column: rows, completeness, distinct values, and for numbers range, moments, quantiles."""
     table = counted(df, numeric, categorical)
-    present = _with_width(table.where(F.col("value").isNotNull()).select("column", "value", "n"))
-    spread = quantiles(present, ["column"], QUANTILES, width="_width").drop("rows")
+    present = table.where(F.col("value").isNotNull()).select("column", "value", "n")
+    spread = quantiles(present, ["column"], QUANTILES).drop("rows")
     there = F.col("value").isNotNull() | F.col("level").isNotNull()
     mean = F.sum(F.col("n") * F.col("value")) / F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
     columns = materialize(

@@ -100,13 +100,30 @@ def breach_by_community(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+#: How finely the approximate percentile ranks: it is off by 1 / ACCURACY of the rows at most.
+ACCURACY = 10_000
+
+
 def category_p75(closed: DataFrame, days: str, approximate: bool = False) -> DataFrame:
     if approximate:
-        return closed.groupBy("service_name").agg(F.percentile_approx(days, 0.75).alias("p75"))
+        return closed.groupBy("service_name").agg(F.percentile_approx(days, 0.75, ACCURACY).alias("p75"))
     exact = category_thresholds(closed.withColumn("days_to_close", F.col(days)))
     return exact.select("service_name", F.col("threshold_days").alias("p75"))
 
 
+def percentile_ranks(closed: DataFrame, days: str, q: float = 0.75) -> DataFrame:
+    """Per category where the approximate percentile really stands: the share of rows ``below`` it and
+    ``upto`` it, and whether ``q`` lies between them within the promised error."""
+    cuts = materialize(category_p75(closed, days, approximate=True), "p75")
+    v, cut = F.col(days), F.col("p75")
+    known = closed.where(v.isNotNull()).join(cuts, "service_name")
+    out = known.groupBy("service_name").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((v < cut).cast("double")).alias("below"), F.avg((v <= cut).cast("double")).alias("upto")
+    )
+    error = 1.0 / ACCURACY
+    return out.withColumn("within", (F.col("below") - error <= q) & (F.col("upto") + error >= q))
+
+
 def busy_vs_late(labelled: DataFrame, top: int = 20, min_n: int = 50, min_months: int = 24) -> DataFrame:
     """Across months: does a busy category run late? One correlation per top category."""
     cells = materialize(

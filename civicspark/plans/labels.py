@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions import dates
 from civicspark.operators.lookup import global_threshold, with_threshold
-from civicspark.operators.ordered import DAYS_WIDTH, distribution, quantiles
+from civicspark.operators.ordered import distribution, quantiles
 from civicspark.plans.purge import mark_purged
 from civicspark.schemas import LEAKY_COLUMNS
 from civicspark.session import materialize
@@ -83,7 +83,7 @@ def category_thresholds(
         .groupBy("service_name", "value")
         .agg(F.sum("n").alias("n"))
     )
-    return quantiles(both, ["service_name"], {"threshold_days": percentile}, width=DAYS_WIDTH).select(
+    return quantiles(both, ["service_name"], {"threshold_days": percentile}).select(
         "service_name", "threshold_days"
     )
 

@@ -28,6 +28,7 @@ from civicspark.plans import (
     quality,
     scorecard,
     scoring,
+    sketches,
 )
 from civicspark.plans import registry as versions
 from civicspark.schemas import CATEGORICAL, FEATURE_SETS, LEAKY_COLUMNS
@@ -830,6 +831,16 @@ def category_p75_approx(spark, d):
     return explore.breach_by_community(adapter.requests(spark, d), approximate=True)
 
 
+@query(
+    "percentile_ranks",
+    sql("SELECT service_name, count(days) AS n, true AS within FROM aged WHERE service_name IS NOT NULL GROUP BY 1 HAVING count(days) > 0", "aged"),
+)
+def percentile_ranks(spark, d):
+    """The exact rank of each category's approximate percentile is where the error bound says."""
+    aged = labels.add_days_to_close(adapter.requests(spark, d))
+    return explore.percentile_ranks(aged, "days_to_close").select("service_name", "n", "within")
+
+
 @query(
     "quantile_breaks",
     sql(
@@ -2280,6 +2291,48 @@ def profile_baseline(spark, d):
     )
 
 
+def month_store(spark, d) -> sketches.Store:
+    """Month profiles of the feature table, stored in two steps: the months before 1998, then the others."""
+    key = (spark.sparkContext.applicationId, d, "month-store")
+    if key not in adapter._built:
+        rows = featured(spark, d).join(adapter.requests(spark, d).select(ID, F.col("requested_date").alias("_t")), ID)
+        store, edge = sketches.Store(spark, new_path(spark, "profiles")), F.lit("1998-01-01").cast("timestamp")
+        for part in (rows.where(F.col("_t") < edge), rows.where(F.col("_t") >= edge)):
+            store.add(part, "_t", drift.NUMERIC, LEVELS)
+        adapter._built[key] = store
+    return adapter._built[key]
+
+
+MERGED = " UNION ALL ".join(
+    [
+        f"""SELECT '{c}' AS "column", count(*) AS rows, (count(*) - count({c}))::BIGINT AS missing, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max,
+        round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std, CASE WHEN count({c}) > 0 THEN true END AS median_within, true AS distinct_within FROM mx"""
+        for c in drift.NUMERIC
+    ]
+    + [f"SELECT '{c}', count(*), (count(*) - count({c}))::BIGINT, NULL, NULL, NULL, NULL, NULL, true FROM mx" for c in LEVELS]
+)
+
+
+@query("merged_profile", behind(sql(MERGED, "matrix"), FEATURED))
+def merged_profile(spark, d):
+    """The profile of all months from their stored sketches; the median's exact rank and the exact number
+    of distinct values are within the stated errors."""
+    out = adapter.materialize(sketches.profile(month_store(spark, d).read("sketches")), "merged-profile")
+    counts = drift.counted(featured(spark, d), drift.NUMERIC, LEVELS)
+    there = F.col("value").isNotNull() | F.col("level").isNotNull()
+    exact = counts.join(out.select("column", "p50"), "column").groupBy("column").agg(
+        F.count(F.when(there, 1)).alias("_distinct"),
+        (F.sum(F.when(F.col("value") < F.col("p50"), F.col("n")).otherwise(0)) / F.sum(F.when(F.col("value").isNotNull(), F.col("n")))).alias("_below"),
+        (F.sum(F.when(F.col("value") <= F.col("p50"), F.col("n")).otherwise(0)) / F.sum(F.when(F.col("value").isNotNull(), F.col("n")))).alias("_upto"),
+    )
+    near = (F.col("_below") - sketches.RANK_ERROR <= 0.5) & (F.col("_upto") + sketches.RANK_ERROR >= 0.5)
+    close = F.abs(F.col("distinct_values") - F.col("_distinct")) <= sketches.DISTINCT_ERROR * F.col("_distinct") + 0.5
+    return out.join(exact, "column").select(
+        "column", "rows", "missing", "min", "max", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
+        near.alias("median_within"), close.alias("distinct_within"),
+    )
+
+
 SHARE = "(SELECT {0} AS v, count(*) / (sum(count(*)) OVER ())::DOUBLE AS {1} FROM {2} WHERE {0} IS NOT NULL GROUP BY 1)"
 MOVED = " UNION ALL ".join(
     [
@@ -2315,6 +2368,27 @@ def drift_violations(spark, d):
     return out.select("column", "check_type", six("observed"))
 
 
+SKETCHED = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", true AS within FROM (SELECT count({c}) AS a FROM early), (SELECT count({c}) AS b FROM late_rows) WHERE a > 0 AND b > 0"""
+    for c in (*drift.NUMERIC, *LEVELS)
+)
+
+
+@query("sketched_distances", behind(sql(SKETCHED, "matrix"), SPLIT_FEATURES))
+def sketched_distances(spark, d):
+    """How far each column has moved, from stored months alone, is within the stated error of how far
+    its rows say."""
+    store, edge = month_store(spark, d), "1998-01-01"
+    sides = [(store.read("sketches", **span), store.read("levels", **span)) for span in ({"before": edge}, {"since": edge})]
+    rows = featured(spark, d).join(adapter.requests(spark, d).select(ID, F.col("requested_date").alias("_t")), ID)
+    cut = F.lit(edge).cast("timestamp")
+    exact = drift.violations(rows.where(F.col("_t") < cut), rows.where(F.col("_t") >= cut), drift.NUMERIC, LEVELS, threshold=-1.0)
+    drifted = F.col("check_type") == "baseline_drift_check"
+    near = sketches.violations(*sides, threshold=-1.0).where(drifted).select("column", F.col("observed").alias("_near"))
+    both = exact.where(drifted).join(near, "column")
+    return both.select("column", (F.abs(F.col("observed") - F.col("_near")) <= sketches.GAP_ERROR).alias("within"))
+
+
 def cube(spark, d) -> DataFrame:
     done = scorecard.settled(adapter.requests(spark, d), adapter.communities(spark, d), gate=adapter.GATE)
     return scorecard.late_counts(done.rows)

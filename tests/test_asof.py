@@ -60,8 +60,8 @@ def test_a_burst_is_cut_further(spark, monkeypatch):
     ask = dict(keys=["k"], row_time="t", event_time="t", value="v", spans=[Span("a", 1), Span("b", 30)])
     plain = sorted(tuple(r) for r in range_agg(df, df, **ask).collect())
     monkeypatch.setattr(asof, "SLICE_ROWS", 8)
-    sliced = asof._sliced(df.selectExpr("0 AS _q", "k AS _k", "unix_micros(t) AS _at"), [Ask(Events(df, "t"), ("k",), (Span("a", 1),))])
-    assert sliced.groupBy("_q", "_k", "_cut").count().agg({"count": "max"}).first()[0] <= 8
+    sliced = asof._sliced(df.selectExpr("k AS _k", "unix_micros(t) AS _at"), ["_k"], "_at", f"{asof.MICROS_SLICE}L")
+    assert sliced.groupBy("_k", "_cut").count().agg({"count": "max"}).first()[0] <= 8
     assert sorted(tuple(r) for r in range_agg(df, df, **ask).collect()) == plain
 
 
@@ -136,3 +136,19 @@ def test_rolling_counts_are_strictly_before(spark):
     )
     got = {r["service_request_id"]: r["cat_open_30d"] for r in features.add_backlog_features(rows).collect()}
     assert got == {"1": 0, "2": 1, "3": 2, "4": 2, "5": 0, "6": 0}
+
+
+def test_the_last_value_in_a_burst(spark, monkeypatch):
+    """The newest event at or before each row, a day's burst cut by its count."""
+    rng = random.Random(11)
+    events = [(rng.choice(["hot"] * 9 + ["cold"]), START + dt.timedelta(microseconds=rng.randrange(3_600_000_000)), float(i)) for i in range(300)]
+    asked = [(i, rng.choice(["hot", "cold", "none"]), START + dt.timedelta(microseconds=rng.randrange(-10**9, 2 * 3_600_000_000))) for i in range(120)]
+    e, q = spark.createDataFrame(events, "k string, t timestamp, v double"), spark.createDataFrame(asked, "id long, k string, t timestamp")
+    ask = dict(keys=["k"], row_time="t", event_time="t", value="v", name="last")
+    want = {}
+    for i, k, t in asked:
+        before = [(u, v) for j, u, v in events if j == k and u <= t]
+        want[i] = max(before)[1] if before else None
+    for rows in (asof.SLICE_ROWS, 8):
+        monkeypatch.setattr(asof, "SLICE_ROWS", rows)
+        assert {r["id"]: r["last"] for r in asof.last_before(q, e, **ask).collect()} == want

@@ -71,3 +71,43 @@ def test_sample_is_exact_and_repeats(spark):
     two = {r["id"] for r in sample_exactly(df.repartition(7), 700, "id", 42).collect()}
     assert len(one) == 700 and one == two
     assert sample_exactly(df, 9000, "id", 42).count() == 5000
+
+
+@pytest.mark.parametrize("spread", [1e-12, 1.0, 1e15])
+def test_digits_need_no_width(spark, spread):
+    """Any range, with most values in one far corner of it and a hot value."""
+    rng = random.Random(7)
+    rows = [("k", 5 * spread if i % 3 == 0 else rng.random() * spread * (1e-7 if i % 2 else 1.0)) for i in range(4000)]
+    rows += [("one", -3.5), ("empty", None), (None, 2.0), (None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    ranks = {"a": "0", "b": "rows div 3", "c": "rows div 2", "d": "rows - 1"}
+    got = {r["k"]: r for r in order_statistics(distribution(df, ["k"], "v"), ["k"], ranks).collect()}
+    assert set(got) == {"k", "one", None}
+    for key in got:
+        values = sorted(v for k, v in rows if k == key and v is not None)
+        n = len(values)
+        assert [got[key][c] for c in "abcd"] == [values[i] for i in (0, n // 3, n // 2, n - 1)] and got[key]["rows"] == n
+
+
+def test_no_window_is_without_a_key_but_over_cells(spark):
+    """The plan of an unkeyed selection orders cells, and values of one cell, never all values."""
+    df = spark.range(100_000).selectExpr("CAST(id AS double) AS v")
+    plan = order_statistics(distribution(df, [], "v"), [], {"m": "rows div 2"})._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window " in line]
+    assert len(windows) >= 3 and all("_cut" in w or "_what" in w or "_m" in w for w in windows)
+
+
+def test_a_sample_has_its_size_with_repeated_ids(spark):
+    rows = [("a", i // 4) for i in range(40)] + [("b", None)] * 30 + [(None, 1)] * 5
+    df = spark.createDataFrame(rows, "id string, v int")
+    for n in (0, 1, 5, 33, 70, 74, 75, 200):
+        one = sample_exactly(df, n, "id", 3).collect()
+        two = sample_exactly(df.repartition(5), n, "id", 3).collect()
+        assert len(one) == min(n, 75) and sorted(map(str, one)) == sorted(map(str, two))
+    assert sample_exactly(df.limit(0), 5, "id", 3).count() == 0
+
+
+def test_many_parts_number_a_tie_alike(spark):
+    df = spark.range(500).selectExpr("CAST(id AS string) AS id", "0D AS z")
+    ranks = [{r["id"]: r["rank"] for r in rank_rows(df, [], "z", "id", parts=p).collect()} for p in (1, 3, 5)]
+    assert ranks[0] == ranks[1] == ranks[2] and sorted(ranks[0].values()) == list(range(1, 501))
