@@ -62,6 +62,8 @@ def seasonal_residuals(
     return df.withColumn(name, F.col(value) - F.avg(value).over(earlier))
 
 
+#: Points of a series up to which one window numbers it.
+SHORT = 1 << 16
 #: Points of a block, at most, and how far the powers of the decay may stretch within one.
 BLOCK, STRETCH = 4096, 250.0
 
@@ -113,7 +115,11 @@ def ewma_flags(
     s, keys = settings or ControlSettings(), list(keys)
     w, decay = s.weight, 1.0 - s.weight
     present = df.where(F.col(value).isNotNull()).select(*keys, month, F.col(value).cast("double").alias("_x"))
-    points = materialize(_numbered(present, keys, month), "points")
+    most = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= SHORT:
+        points = present.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(month)) - 1)
+    else:
+        points = materialize(_numbered(present, keys, month), "points")
     early = F.when(F.col("_i") < s.min_points, F.col("_x"))
     base = points.groupBy(*keys).agg(F.avg(early).alias("_mu"), F.stddev_samp(early).alias("_sigma"), F.count(F.lit(1)).alias("_n"))
     base = materialize(base.where((F.col("_n") >= s.min_points) & (F.col("_sigma") > 0)), "limits")

@@ -52,7 +52,9 @@ def brute(values, s):
     return flags
 
 
-def test_flags_equal_the_recursion(spark):
+@pytest.mark.parametrize("short", [detect.SHORT, 5])
+def test_flags_equal_the_recursion(spark, monkeypatch, short):
+    monkeypatch.setattr(detect, "SHORT", short)
     draw = random.Random(2)
     data = {
         "ten": [draw.gauss(0, 1) for _ in range(10)],
