@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -44,39 +45,47 @@ SIGMA = 1.0
 class Line:
     __slots__ = ("text", "plain", "tags", "region", "out")
 
-    def __init__(self, text: str, plain: int, tags: int, region: tuple[int, ...], out: bool):
+    def __init__(self, text: str, plain: int, tags: int, region: int, out: bool):
         self.text, self.plain, self.tags, self.region, self.out = text, plain, tags, region, out
 
 
 class Lines(HTMLParser):
-    """A page as lines: runs of text between block boundaries, with the tags met on the way."""
+    """A page as lines: runs of text between block boundaries, with the tags met on the way.
+
+    Regions are numbered as they open, so a region's parent has a smaller number; -1 is the page.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, tuple[int, ...]]] = []  # name, not the article, regions around
-        self.names: dict[int, str] = {}
+        # name, not the article, not so even for an article inside, innermost region
+        self.open: list[tuple[str, bool, bool, int]] = []
+        self.count: Counter = Counter()  # open elements by name
+        self.parents: list[int] = []
+        self.articles: list[int] = []  # a region's innermost article or main element, itself included
         self.parts: list[str] = []
-        self.tags = self.linked = self.links = 0
+        self.tags = self.linked = 0
 
-    def state(self) -> tuple[bool, tuple[int, ...]]:
-        return self.open[-1][1:] if self.open else (False, ())
+    def state(self) -> tuple[bool, bool, int]:
+        return self.open[-1][1:] if self.open else (False, False, -1)
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            out, region = self.state()
+            out, _, region = self.state()
             self.lines.append(Line(text, max(0, len(text) - self.linked), self.tags, region, out))
         self.parts, self.tags, self.linked = [], 0, 0
 
-    def close_until(self, names: frozenset | set, across: frozenset = SCOPE) -> None:
+    def close_until(self, name: str, across: frozenset = SCOPE) -> None:
+        if not self.count[name]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name in names:
-                self.links -= sum(x[0] == "a" for x in self.open[i:])
+            here = self.open[i][0]
+            if here == name:
+                self.count.subtract(x[0] for x in self.open[i:])
                 del self.open[i:]
                 return
-            if name in across:
+            if here in across:
                 return
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -89,33 +98,40 @@ class Lines(HTMLParser):
             return
         for name, ended in ENDS.items():
             if tag in ended:
-                self.close_until({name})
-        out, region = self.state()
+                self.close_until(name)
+        out, hard, region = self.state()
         given = dict(attrs)
         words = set(re.split(r"[^a-z0-9]+", " ".join(str(given.get(k) or "") for k in ("class", "id", "role")).lower()))
-        inside = any(self.names[r] in ("article", "main") for r in region)
         if tag in ("article", "main"):
-            out = (out and any(x[1] and x[0] != "form" for x in self.open)) or bool(words & COMMENTS)
+            out = hard or bool(words & COMMENTS)
         elif tag not in ("html", "body"):
             hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in str(given.get("style") or "").replace(" ", "")
+            inside = region >= 0 and self.articles[region] >= 0
             out = out or tag in NEVER or (tag == "header" and not inside) or bool(words & OTHER) or hidden
         if tag in REGION:
-            self.names[len(self.names)] = tag
-            region = (*region, len(self.names) - 1)
-        self.links += tag == "a"
-        self.open.append((tag, out, region))
+            above = self.articles[region] if region >= 0 else -1
+            self.parents.append(region)
+            region = len(self.parents) - 1
+            self.articles.append(region if tag in ("article", "main") else above)
+        self.count[tag] += 1
+        self.open.append((tag, out, hard or (out and tag != "form"), region))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
         if tag not in VOID:
-            self.close_until({tag}, frozenset() if tag in SCOPE else SCOPE)
+            self.close_until(tag, frozenset() if tag in SCOPE else SCOPE)
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
-        if self.links > 0:
+        if self.count["a"]:
             self.linked += len(data.strip())
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...`` up to the next ``>`` is a comment, whatever its keyword."""
+        end = self.rawdata.find(">", i + 3)
+        return end + 1 if end >= 0 else -1
+
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     reach = int(np.ceil(2 * sigma))
@@ -143,22 +159,40 @@ def main_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    lines = parser.lines
-    if not any(not x.out for x in lines):
+    lines, parents, articles = parser.lines, parser.parents, parser.articles
+    there = [x for x in lines if not x.out]
+    if not there:
         return ""
     ratio = smooth(np.array([0.0 if x.out else x.plain / max(1, x.tags) for x in lines]))
     high = ratio > threshold(ratio) if len(lines) > 1 else np.ones(1, bool)
-    named = {r for x in lines if not x.out for r in x.region if parser.names[r] in ("article", "main")}
-    wanted = {x.region[-1:] for x, h in zip(lines, high) if h and not x.out}
+    best = [x.region for x, h in zip(lines, high) if h and not x.out]
+    named = {articles[x.region] for x in there if x.region >= 0 and articles[x.region] >= 0}
     if named:
         # The innermost article around each line of the high cluster; all of the page's if none is high.
-        inner = [next((r for r in reversed(x.region) if r in named), None) for x in lines]
-        hit = {r for r, x, h in zip(inner, lines, high) if h and not x.out and r is not None} or named
-        chosen = [x.text for r, x in zip(inner, lines) if not x.out and (r in hit or any(q in hit for q in x.region))]
+        wanted = {articles[r] for r in best if r >= 0 and articles[r] >= 0} or named
     else:
-        wanted = wanted or {x.region[-1:] for x in lines if not x.out}
-        chosen = [x.text for x in lines if not x.out and x.region[-1:] in wanted and (x.plain or len(lines) == 1)]
-    return "\n\n".join(chosen)
+        wanted = {common(best or [x.region for x in there], parents)}
+    # parents come before what is in them
+    inside = [False] * (len(parents) + 1)
+    inside[-1] = -1 in wanted
+    for r, parent in enumerate(parents):
+        inside[r] = r in wanted or inside[parent]
+    return "\n\n".join(x.text for x in there if inside[x.region])
+
+
+def common(regions: list[int], parents: list[int]) -> int:
+    """The smallest region that holds all ``regions``."""
+    if -1 in regions:
+        return -1
+    held = [0] * len(parents)
+    for r in regions:
+        held[r] += 1
+    for r in range(len(parents) - 1, -1, -1):
+        if held[r] == len(regions):
+            return r
+        if parents[r] >= 0:
+            held[parents[r]] += held[r]
+    return -1
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,9 +211,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     becomes one space. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
     and reader comments are told by element, class, id or role and count as empty lines. Each
     line's characters outside links are divided by its tags; the ratios are smoothed by a Gaussian
-    and cut in two clusters. A region (the article or main element, else the innermost container)
-    with a line in the high cluster is content, with all its lines, short ones too. Lines are
-    joined by an empty line. Null or empty html, or a page of nothing else, gives an empty text; a
+    and cut in two clusters. An article or main element with a line in the high cluster is content;
+    on pages without one, the smallest container that holds all of them. All its lines are kept, short
+    and linked ones too, joined by an empty line. Malformed markup never fails: unknown
+    declarations are comments, stray ends are passed over, what is open at the end is closed; time and
+    memory grow with the page, however deep its elements nest. Null or empty html, or a page of nothing else, gives an empty text; a
     page without any tag is its own single line. Ids and urls pass as they are, null and repeated
     ones too.
     """

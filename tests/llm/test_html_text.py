@@ -1,5 +1,11 @@
 import html
 import re
+import time
+import tracemalloc
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from civicspark.llm import html_text as H
 
@@ -32,6 +38,43 @@ def test_odd_pages():
     assert H.main_text("<article><p>x</p></article>") == "x"
 
 
+def test_malformed_declarations():
+    for odd in ("<![foo x]>", "<![CDATA[x]]>", "<![if !IE]>", "<!DOCTYPE [<!ENTITY a 'b'>]>", "<!ELEMENT br EMPTY>", "<!>", "<!-x->", "<?php x ?>", "</>", "<!["):
+        assert H.main_text(f"<p>a</p>{odd}<p>b</p>").startswith("a")
+    assert H.main_text("<p>a</p><![foo x]>b") == "a\n\nb"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["<", ">", "</", "<!", "<![", "]]>", "--", "<!--", "<?", "&", "&#", "&#x110000;", "div", "p", "article", " class='ad'", "form", "table", "td", "a", "=", '"', "'", "/", "\x00", "text", "\n", "script", "é", "[", "]"]), max_size=40).map("".join))
+def test_no_page_fails(page):
+    assert isinstance(H.main_text(page), str)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=200))
+def test_random_bytes(data):
+    assert isinstance(H.main_text(data.decode("latin-1")), str)
+
+
+@pytest.mark.parametrize("tag", ["div", "article", "b", "table", "form", "a", "p", "ul"])
+def test_deep_nesting_costs_no_more_than_its_length(tag):
+    n = 100_000
+    tracemalloc.start()
+    start = time.process_time()
+    text = H.main_text(f"<{tag}>" * n + "deep <p>text" + "</b>" * n)
+    assert ("deep" in text) == (tag != "form") and time.process_time() - start < 30
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
+def test_without_an_article_nothing_of_the_container_is_lost():
+    cells = "<table><tr><td>Short</td><td><a href=x>linked cell</a></td></tr></table>"
+    body = "".join(f"<div><p>{'a long paragraph of text ' * 9}{i}</p></div>" for i in range(4))
+    page = f"<body><div><a href=1>one</a><a href=2>two</a></div><div id=x><h2><a href=y>A linked heading</a></h2>{body}<section>Tiny.</section>{cells}</div></body>"
+    got = H.main_text(page).split("\n\n")
+    assert [got[0], *got[-3:]] == ["A linked heading", "Tiny.", "Short", "linked cell"] and len(got) == 8
+
+
 def test_a_very_long_page_is_read_whole():
     body = "".join(f"<p>Paragraph {i} has some text.</p>" for i in range(20000))
     assert H.main_text(f"<nav>m</nav><article>{body}</article><footer>f</footer>").count("\n\n") == 19999
