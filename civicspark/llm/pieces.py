@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Segments whose ids a task keeps, some 200 MB, and the longest segment that is kept.
 KEPT, LONGEST = 1 << 20, 48
-#: Distances to the next skipped merge that are drawn at once.
-DRAWS = 256
-#: A rank behind all others.
-FAR = 1 << 40
+#: A rank behind all others, and one that no pair has; more than there are symbols.
+FAR, NONE, SYMBOLS = 1 << 40, (1 << 31) - 1, 1 << 22
+#: Bits of the slots that pairs of symbols are looked up in.
+SLOTS = 21
 MASK = 2**64 - 1
 
 
@@ -44,6 +45,8 @@ class Pieces:
             self.surface[i] = names[i].replace(SPACE, " ").encode()
         for value, i in self.bytes.items():
             self.surface[i] = bytes([value])
+        self.sizes = np.array([len(x) for x in self.surface], np.int64)
+        self.flat, self.starts = np.frombuffer(b"".join(self.surface), np.uint8), np.cumsum(self.sizes) - self.sizes
         # No piece goes from a letter into a space, nor over a line's end if none contains one.
         ends = "" if any("\n" in x for x in self.ids) else "\n"
         self.cut = re.compile(f"{SPACE}*[^{SPACE}{ends}]+|{SPACE}+" + (f"|{ends}" if ends else ""))
@@ -59,7 +62,7 @@ class Pieces:
         salt = xxhash.xxh64_intdigest(segment, key) | 1 if limit else 0
         return self._raw(self._short(segment, salt, limit) if len(segment) <= LONGEST else self._long(segment, salt, limit))
 
-    def merge_without(self, segment: str, skips: tuple[int, ...]) -> tuple[bytes, int]:
+    def merge_without(self, segment: str, skips: Iterable[int]) -> tuple[bytes, int]:
         """The ids of one segment if the candidate merges of these numbers, in the order in which they
         leave the agenda, are skipped for good; and how many candidates left it."""
         turns = Turns(skips)
@@ -117,7 +120,7 @@ class Pieces:
                 heappush(agenda, r * n + h)
         return [x for x in symbols if x is not None]
 
-    def encode(self, text: str, kept: Kept | Drawn) -> bytes:
+    def encode(self, text: str, kept: Kept) -> bytes:
         """The ids of a text, four bytes each; an empty text has none."""
         if len(kept) >= KEPT:
             kept.clear()
@@ -130,6 +133,12 @@ class Pieces:
             out += map(kept.take, [part] if self.whole else self.cut.findall(part))
         return b"".join(out)
 
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        """What a run of ids decodes to, byte by byte, the space before the text included."""
+        sizes = self.sizes[ids]
+        upto = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[ids] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
+
     def decode(self, ids: list[int]) -> str:
         """The text of a list of ids. Ids outside the vocabulary and control pieces are nothing."""
         if ids and not 0 <= min(ids) <= max(ids) < len(self.surface):
@@ -139,14 +148,19 @@ class Pieces:
 
 
 class Turns:
-    """Counts candidate merges and says which are skipped."""
+    """Counts candidate merges and says which are skipped: those of the numbers that ``skips`` gives, in
+    ascending order."""
 
-    def __init__(self, skips: tuple[int, ...]):
-        self.skips, self.n = skips, 0
+    def __init__(self, skips: Iterable[int]):
+        self.skips, self.n = iter(skips), 0
+        self.next = next(self.skips, -1)
 
     def skip(self) -> bool:
         self.n += 1
-        return self.n - 1 in self.skips
+        if self.n - 1 != self.next:
+            return False
+        self.next = next(self.skips, -1)
+        return True
 
 
 class Kept(dict):
@@ -164,57 +178,241 @@ class Kept(dict):
         return raw
 
 
-class Drawn(dict):
-    """Segments whose candidate merges are skipped by draws of their own, wherever they occur.
+class Agendas:
+    """The agendas of many short segments worked off side by side: in every step each segment's best
+    candidate, the leftmost of equal ones, is merged or skipped."""
+
+    def __init__(self, pieces: Pieces):
+        self.size = size = len(pieces.surface)
+        ids, found = pieces.ids, {}
+        self.symbol = Symbols(ids, size)
+
+        def known(part: str) -> int | None:
+            return ids.get(part, size + ord(part) if len(part) == 1 else None)
+
+        for piece, rank in pieces.ranks.items():
+            for i in range(1, len(piece)):
+                left, right = known(piece[:i]), known(piece[i:])
+                if left is not None and right is not None:
+                    found[left * SYMBOLS + right] = (rank, ids[piece])
+        codes = np.array(sorted(found), np.int64)
+        self.rank = np.array([found[c][0] for c in codes.tolist()] + [NONE], np.int32)
+        self.into = np.array([found[c][1] for c in codes.tolist()] + [0], np.int32)
+        self.codes = np.append(codes, -1)
+        self.byte_ids = np.array([pieces.bytes.get(b, 0) for b in range(256)], np.int32)
+        # Two tables by hash: what finds its place in the first taken is in the second, which has no clash.
+        self.first, clashed = self._table(np.arange(len(codes)), 0)
+        for self.turn in range(1, 1000):
+            self.second, again = self._table(clashed, self.turn)
+            if not len(again):
+                return
+        raise ValueError("no second table without a clash")
+
+    def _slots(self, codes: np.ndarray, turn: int) -> np.ndarray:
+        factor = np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) & MASK | 1)
+        return (codes.view(np.uint64) * factor >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def _table(self, entries: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        """Entries by their slot, and those whose slot was taken."""
+        table = np.full(1 << SLOTS, len(self.codes) - 1, np.int32)
+        slots = self._slots(self.codes[entries], turn)
+        _, one = np.unique(slots, return_index=True)
+        table[slots[one]] = entries[one]
+        return table, np.delete(entries, one)
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rank of each pair of symbols, or none, and what it merges into."""
+        wanted, nothing = left.astype(np.int64) * SYMBOLS + right, len(self.codes) - 1
+        at = self.first[self._slots(wanted, 0)]
+        off = (at != nothing) & (self.codes[at] != wanted)
+        if off.any():
+            other = self.second[self._slots(wanted[off], self.turn)]
+            at[off] = np.where(self.codes[other] == wanted[off], other, nothing)
+        return self.rank[at], self.into[at]
+
+    def work_off(self, symbols: np.ndarray, length: np.ndarray, skip: np.ndarray, later: Callable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Segments as rows of symbols, filled up with -1, and the number of the first candidate that
+        each skips (``later`` gives the distance to the next, for rows and their turns). Returns the
+        symbols that are left, one row after the other, how many each row has, and its candidates."""
+        rows, width = symbols.shape
+        rank, into = self.pairs(symbols, np.concatenate([symbols[:, 1:], np.full((rows, 1), -1, np.int32)], axis=1))
+        cells = np.stack([symbols, rank, into], axis=2)
+        columns, candidates = np.arange(width), np.zeros(rows, np.int64)
+        turn, skip, length = np.zeros(rows, np.int64), skip.copy(), length.copy()
+        open_ = np.arange(rows)
+        while len(open_):
+            at = cells[open_, :, 1].argmin(axis=1)
+            there = cells[open_, at, 1] < NONE
+            open_, at = open_[there], at[there]
+            skipped = candidates[open_] == skip[open_]
+            candidates[open_] += 1
+            row, i = open_, at
+            if skipped.any():
+                row = open_[skipped]
+                cells[row, at[skipped], 1] = NONE
+                turn[row] += 1
+                skip[row] += 1 + later(row, turn[row])
+                row, i = open_[~skipped], at[~skipped]
+            made = cells[row, i, 2]
+            moved = cells[row[:, None], np.minimum(columns + (columns > i[:, None]), width - 1)]
+            moved[:, -1] = (-1, NONE, 0)
+            here = np.arange(len(row))
+            moved[here, i, 0] = made
+            moved[here, i, 1], moved[here, i, 2] = self.pairs(made, np.where(i + 1 < width, moved[here, np.minimum(i + 1, width - 1), 0], -1))
+            inner = np.flatnonzero(i > 0)
+            moved[inner, i[inner] - 1, 1], moved[inner, i[inner] - 1, 2] = self.pairs(moved[inner, i[inner] - 1, 0], made[inner])
+            cells[row] = moved
+            length[row] -= 1
+        return cells[columns < length[:, None], 0], length, candidates
+
+    def spelt(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids from symbols: a character without a piece in the bytes of its UTF-8."""
+        point = symbols.astype(np.int64) - self.size
+        if not (point >= 0).any():
+            return symbols, counts
+        sizes = np.where(point < 0, 1, 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000))
+        upto = np.cumsum(sizes)
+        out, point, of = np.repeat(symbols, sizes), np.repeat(point, sizes), np.repeat(sizes, sizes)
+        place = np.arange(len(out)) - np.repeat(upto - sizes, sizes)
+        bits = point >> 6 * (of - 1 - place)
+        byte = np.where(place > 0, 0x80 | bits & 0x3F, np.where(of > 1, 0xF00 >> of & 0xFF | bits, bits))
+        out = np.where(point >= 0, self.byte_ids[np.clip(byte, 0, 255)], out).astype(np.int32)
+        rows = np.repeat(np.arange(len(counts)), counts)
+        return out, np.bincount(rows, sizes, len(counts)).astype(np.int64)
+
+
+class Symbols(dict):
+    """The symbol of a character: its piece, or a number beyond all pieces."""
+
+    def __init__(self, ids: dict[str, int], size: int):
+        super().__init__()
+        self.ids, self.size = ids, size
 
-    The candidates of a document, one after the other, are independent trials. Only the distance to
-    the next one that is skipped is drawn, and it runs on over segments without one. What is kept, by
-    segment and the numbers of its skipped candidates, are its ids and how many candidates it had.
-    """
+    def __missing__(self, c: str) -> int:
+        self[c] = out = self.ids.get(c, self.size + ord(c))
+        return out
 
-    def __init__(self, pieces: Pieces, rate: float):
-        super().__init__()
-        self.pieces, self.rate = pieces, rate
 
-    def __missing__(self, key: str | tuple) -> tuple[bytes, int]:
-        segment, skips = (key, ()) if isinstance(key, str) else (key[0], key[1:])
-        made = self.pieces.merge_without(segment, skips)
-        if len(segment) <= LONGEST:
-            self[key] = made
-        return made
+class Drawn:
+    """Segments whose candidate merges are skipped by draws of their own, wherever they occur.
 
-    def begin(self, key: int) -> None:
-        """The draws of the document with this key come next."""
-        self.key, self.at, self.pool = key, 0, iter(())
-        self.left = self.gap()
+    The candidates of an occurrence are independent trials. Its draws, hashes of the document's key,
+    the occurrence's number and their own, are distances to the next candidate that is skipped, so one
+    draw tells whether it is disturbed at all. Plain segmentations are kept, with how many candidates
+    they had; the disturbed occurrences of a batch go through their agendas side by side. A long
+    segment has an agenda of its own, its draws are taken as its candidates leave it.
+    """
 
-    def gap(self) -> float:
-        """Candidates that stand before the next one that is skipped."""
+    def __init__(self, pieces: Pieces, rate: float):
+        self.pieces, self.rate, self.agendas = pieces, rate, Agendas(pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        # number 0: a space sign written in the text itself, spelt in bytes
+        spelt = [self.pieces.bytes[b] for b in SPACE.encode()]
+        self.plain: dict[str, int] = {}
+        self.symbols, self.starts = array("i"), array("q", [0, 0])
+        self.ids, self.at, self.size, self.n = array("i", spelt), array("q", [0]), array("q", [len(spelt)]), array("q", [0])
+        self.plain[""] = 0
+
+    def gaps(self, keys: np.ndarray, places: np.ndarray, turns: np.ndarray) -> np.ndarray:
+        """Candidates that stand before the next one that is skipped, for occurrences and their draws' numbers."""
         if not 0 < self.rate < 1:
-            return 0 if self.rate else float("inf")
-        if (g := next(self.pool, None)) is None:
-            # The draws' numbers are hashed with the key, so that no draw depends on a task.
-            bits = mix(np.arange(self.at, self.at + DRAWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(self.key))
-            self.at += DRAWS
-            gaps = np.log(((bits >> np.uint64(11)).astype(np.float64) + 1) / 2**53) / np.log1p(-self.rate)
-            self.pool = iter(gaps.astype(np.int64).tolist())
-            g = next(self.pool)
-        return g
-
-    def take(self, segment: str) -> bytes:
-        raw, n = self[segment]
-        if n <= self.left:
-            self.left -= n
-            return raw
-        key, done = (segment,), 0
-        while done + self.left < n:
-            done += self.left
-            key += (done,)
-            done += 1
-            self.left = self.gap()
-            raw, n = self[key]
-        self.left -= n - done
-        return raw
+            return np.full(len(keys), 0 if self.rate else FAR, np.int64)
+        salt = (turns.astype(np.uint64) * np.uint64(2) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        bits = mix(mix(keys + places.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)) ^ salt)
+        return (np.log(((bits >> np.uint64(11)).astype(np.float64) + 1) / 2**53) / np.log1p(-self.rate)).astype(np.int64)
+
+    def skips(self, key: int, place: int) -> Iterator[int]:
+        """All skipped candidates of one occurrence, in order, as far as they are asked for."""
+        keys, places, at, turn = np.array([key], np.uint64), np.array([place]), 0, 0
+        while True:
+            at += int(self.gaps(keys, places, np.array([turn]))[0])
+            yield at
+            at, turn = at + 1, turn + 1
+
+    def segments(self, text: str) -> list[str]:
+        """The segments of a text, a space sign of its own as itself and nothing else."""
+        pieces, out = self.pieces, []
+        for number, part in enumerate(text.split(SPACE)):
+            out += [""] if number else []
+            part = ("" if number else SPACE) + part.replace(" ", SPACE)
+            out += ([part] if part else []) if pieces.whole else pieces.cut.findall(part)
+        return out
+
+    def _rows(self, number: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Kept segments as rows of symbols, those of like length together: which, rows, lengths."""
+        starts, symbols = np.array(self.starts, np.int64), np.array(self.symbols, np.int32)
+        length = starts[number + 1] - starts[number]
+        lo = 0
+        for width in (4, 6, 8, 10, 12, 16, 24, LONGEST):
+            here = np.flatnonzero((length > lo) & (length <= width))
+            for i in range(0, len(here), most // width):
+                part = here[i : i + most // width]
+                columns = np.arange(width)
+                at = starts[number[part], None] + np.minimum(columns, length[part, None] - 1)
+                yield part, np.where(columns < length[part, None], symbols[at], -1).astype(np.int32), length[part]
+            lo = width
+
+    def _learn(self, new: list[str]) -> None:
+        """Segment plainly what hasn't been met."""
+        first, symbol = len(self.n), self.agendas.symbol.__getitem__
+        self.symbols.extend(map(symbol, chain.from_iterable(new)))
+        self.starts.frombytes((self.starts[-1] + np.cumsum([len(x) for x in new])).astype(np.int64).tobytes())
+        self.plain.update(zip(new, range(first, first + len(new)), strict=True))
+        at, size, n = (np.zeros(len(new), np.int64) for _ in range(3))
+        for part, rows, length in self._rows(np.arange(first, first + len(new))):
+            left, counts, n[part] = self.agendas.work_off(rows, length, np.full(len(part), -1))
+            left, size[part] = self.agendas.spelt(left, counts)
+            at[part] = len(self.ids) + np.cumsum(size[part]) - size[part]
+            self.ids.frombytes(left.astype(np.int32).tobytes())
+        for kept, found in ((self.at, at), (self.size, size), (self.n, n)):
+            kept.frombytes(found.tobytes())
+
+    def encode(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        if len(self.n) >= KEPT:
+            self.forget()
+        found = [self.segments(t) if t else [] for t in texts]
+        known = self.plain
+        new = [x for x in dict.fromkeys(chain.from_iterable(found)) if x not in known]
+        longs = {x: -1 for x in new if len(x) > LONGEST}
+        new = [x for x in new if x not in longs] if longs else new
+        if new:
+            self._learn(new)
+        known.update(longs)  # for this batch only
+        counts = np.array([len(f) for f in found], np.int64)
+        number = np.fromiter(map(known.__getitem__, chain.from_iterable(found)), np.int64, int(counts.sum()))
+        for x in longs:
+            del known[x]
+        row = np.repeat(np.arange(len(texts)), counts)
+        place = np.arange(len(number)) - np.repeat(np.cumsum(counts) - counts, counts)
+        key = np.array(keys, np.uint64)[row]
+        pool = [np.array(self.ids, np.int32)]
+        starts, sizes, total = np.array(self.at, np.int64)[number], np.array(self.size, np.int64)[number], len(pool[0])
+
+        def put(which: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+            nonlocal total
+            starts[which], sizes[which] = total + np.cumsum(counts) - counts, counts
+            pool.append(ids)
+            total += len(ids)
+
+        for i in np.flatnonzero(number < 0).tolist():
+            segment = found[row[i]][place[i]]
+            ids = np.frombuffer(self.pieces.merge_without(segment, self.skips(int(key[i]), int(place[i])))[0], np.int32)
+            put(np.array([i]), ids, np.array([len(ids)]))
+        first = self.gaps(key, place, np.zeros(len(number), np.int64))
+        hit = np.flatnonzero((number >= 0) & (first < np.array(self.n, np.int64)[number]))
+        for part, rows, length in self._rows(number[hit]):
+            which = hit[part]
+
+            def later(some, turns, which=which):
+                return self.gaps(key[which[some]], place[which[some]], turns)
+
+            put(which, *self.agendas.spelt(*self.agendas.work_off(rows, length, first[which], later)[:2]))
+        upto = np.cumsum(sizes)
+        flat = np.concatenate(pool)[np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
+        return flat, np.bincount(row, sizes, len(texts)).astype(np.int64)
 
 
 def _encode(proto, rate: float, seed: int, streams: int):
@@ -223,15 +421,16 @@ def _encode(proto, rate: float, seed: int, streams: int):
         kept = [Kept(pieces, (seed * 0x9E3779B97F4A7C15 + i) & MASK, int(rate * 2**32)) for i in range(streams)]
         drawn = Drawn(pieces, rate)
         for batch in (part for whole in batches for part in slices(whole, "text")):
-            ids, same = [], []
-            for text, stream in zip(batch["text"].to_pylist(), batch["stream"].to_pylist()):
-                text = text or ""
-                if not streams:
-                    drawn.begin(xxhash.xxh64_intdigest(text, (seed * 0x9E3779B97F4A7C15 + stream) & MASK))
-                ids.append(np.frombuffer(pieces.encode(text, kept[stream] if streams else drawn), np.int32))
-                same.append(pieces.decode(ids[-1].tolist()) == text)
-            ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
-            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids) if ids else [], pa.int32()))
+            texts, dealt = [t or "" for t in batch["text"].to_pylist()], batch["stream"].to_pylist()
+            if streams:
+                found = [np.frombuffer(pieces.encode(t, kept[s]), np.int32) for t, s in zip(texts, dealt, strict=True)]
+                flat, sizes = (np.concatenate(found) if found else np.zeros(0, np.int32)), [len(x) for x in found]
+            else:
+                flat, sizes = drawn.encode(texts, [xxhash.xxh64_intdigest(t, (seed * 0x9E3779B97F4A7C15 + s) & MASK) for t, s in zip(texts, dealt, strict=True)])
+            ends = np.cumsum([0, *sizes])
+            raw, cuts = pieces.bytes_of(flat), np.concatenate([[0], np.cumsum(pieces.sizes[flat])])[ends]
+            same = [raw[lo:hi].tobytes() == (b" " + t.encode() if t else b"") for t, lo, hi in zip(texts, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
             others = [batch[i] for i in range(batch.num_columns - 2)]
             yield pa.RecordBatch.from_arrays([*others, lists, pa.array(same, pa.bool_())], names=[*batch.schema.names[:-2], "ids", "restored"])
 
@@ -265,7 +464,8 @@ def encode_texts(
     skipped with probability ``dropout`` by a hash of the seed, the segment, the piece and the place,
     so a rerun agrees and another seed segments anew. With ``streams`` above 1 documents are
     dealt by their id to as many independent segmentations. With ``streams`` 0 every occurrence is
-    segmented by draws of its own, a hash of the seed, the row's id and text, and the draw's number.
+    segmented by draws of its own, a hash of the seed, the row's id and text, the occurrence's and the
+    draw's number.
     A ``dropout`` of 0 gives the model's own encoding, 1 single
     characters. Characters without a piece are spelt in bytes. A null text counts as
     empty and has no ids. Rows are independent: nothing is shuffled, repeated rows give equal ids.

@@ -80,30 +80,60 @@ def test_documents_come_back_whole(spark, sf_docs):
 
 
 def test_every_occurrence_draws_its_own_segmentation(vocabulary, library):
-    text = "information transformation notwithstanding understanding " * 30 + "x" * 200
+    text = "information transformation notwithstanding understanding " * 30 + "x" * 200 + " a▁b  ▁"
     drawn = P.Drawn(vocabulary, 0.1)
 
-    def ids(key, rate=0.1):
+    def ids(key, rate=0.1, text=text):
         drawn.rate = rate
-        drawn.begin(key)
-        return np.frombuffer(vocabulary.encode(text, drawn), np.int32).tolist()
+        return drawn.encode([text], [key])[0].tolist()
 
-    assert ids(1, 0.0) == library.encode(text) and len(ids(1, 1.0)) > len(text)
+    plain = text.split(" a▁")[0]
+    assert ids(1, 0.0, plain) == library.encode(plain) and len(ids(1, 1.0)) > len(text)
     assert ids(1) == ids(1) != ids(2) and vocabulary.decode(ids(3)) == text
     # The draws are those of one trial after another.
-    drawn.begin(5)
-    skips, n = {drawn.left}, drawn.left
-    while n < 10**5:
-        n += 1 + drawn.gap()
-        skips.add(n)
-    assert abs(len(skips) / n - 0.1) < 0.005
-    raw, at = b"", 0
-    for segment in vocabulary.cut.findall(P.SPACE + text.replace(" ", P.SPACE)):
-        turns = P.Turns(())
-        turns.skips = {x - at for x in skips if x >= at}
-        symbols = vocabulary._long(segment, 0, 0, turns)
-        raw, at = raw + vocabulary._raw(symbols), at + turns.n
-    assert np.frombuffer(raw, np.int32).tolist() == ids(5)
+    turns, many = drawn.skips(7, 0), []
+    while not many or many[-1] < 10**5:
+        many.append(next(turns))
+    assert len(set(many)) == len(many) and abs(len(many) / many[-1] - 0.1) < 0.005
+    # Every occurrence by itself: all skipped candidates at once, the agenda from the start.
+    text += " 日é😀x " * 20
+    raw, place = b"", 0
+    for number, part in enumerate(text.split(P.SPACE)):
+        if number:
+            raw, place = raw + np.array([vocabulary.bytes[b] for b in P.SPACE.encode()], np.int32).tobytes(), place + 1
+        for segment in vocabulary.cut.findall(("" if number else P.SPACE) + part.replace(" ", P.SPACE)):
+            raw += vocabulary._raw(vocabulary._long(segment, 0, 0, P.Turns(drawn.skips(5, place))))
+            place += 1
+    assert np.frombuffer(raw, np.int32).tolist() == ids(5, text=text)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abcdeTh é\n 日😀.,▁"), max_size=60), st.sampled_from([0.0, 0.1, 0.5, 1.0]))
+def test_agendas_side_by_side_are_those_of_one_segment(vocabulary, text, rate):
+    drawn = P.Drawn(vocabulary, rate)
+    got = drawn.encode([text], [9])[0].tolist() if text else []
+    want = b""
+    for place, segment in enumerate(drawn.segments(text) if text else []):
+        if segment:
+            want += vocabulary.merge_without(segment, drawn.skips(9, place))[0]
+        else:
+            want += np.array([vocabulary.bytes[b] for b in P.SPACE.encode()], np.int32).tobytes()
+    assert got == np.frombuffer(want, np.int32).tolist()
+
+
+def test_batches_and_forgetting_change_nothing(vocabulary, sf_docs, monkeypatch):
+    texts = [r["text"] or "" for r in sf_docs.limit(60).collect()] + ["", "y" * 4000, "a b " * 2000]
+    keys = list(range(len(texts)))
+    whole, sizes = P.Drawn(vocabulary, 0.2).encode(texts, keys)
+    monkeypatch.setattr(P, "KEPT", 50)
+    drawn, parts = P.Drawn(vocabulary, 0.2), []
+    for i in range(0, len(texts), 7):
+        flat, some = drawn.encode(texts[i : i + 7], keys[i : i + 7])
+        assert some.tolist() == sizes[i : i + 7].tolist()
+        parts.append(flat)
+    assert np.concatenate(parts).tolist() == whole.tolist()
+    ends = np.cumsum([0, *sizes])
+    assert [vocabulary.decode(whole[lo:hi].tolist()) for lo, hi in zip(ends, ends[1:])] == texts
 
 
 def test_the_query_and_the_pipeline_segment_words_anew(spark, tmp_path):
