@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,11 @@ REVERSE = 32
 BLOCK = 256
 #: Vectors that the audit compares with all others.
 AUDITED = 256
+#: Members of a clump that look beyond it in each order, and vectors compared with all others at once
+#: where the search by lists has failed its audit.
+SCOUTS, CHUNK = 8, 4096
+#: Links of a vector up to which its group counts as small in the audit.
+SMALL = 16
 #: What single precision may take from a similarity.
 ROUNDING = 1e-4
 
@@ -207,8 +213,10 @@ def _brute(queries: np.ndarray, threshold: float):
 
 
 def audit(classes: DataFrame, compared: DataFrame, threshold: float, sample: int = AUDITED) -> float:
-    """The share of true links found, of about ``sample`` vectors drawn by a hash of their number from
-    those with links and as many from the rest, each compared with all vectors."""
+    """The share of its true links that a vector finds, on average, of about ``sample`` vectors drawn by a
+    hash of their number from those with links and as many from the rest, each compared with all
+    vectors. Vectors of small and of large groups are averaged apart and the lower average counts,
+    so a large group can't hide what small ones miss."""
     found = compared.groupBy("cid").agg(F.sum("links").alias("found"))
     both = classes.select("cid", "raw", "n").join(found, "cid", "left").withColumn("lone", F.coalesce("found", F.lit(0)) == 0)
     both = materialize(both, "audited")
@@ -220,9 +228,94 @@ def audit(classes: DataFrame, compared: DataFrame, threshold: float, sample: int
     queries = units(np.array([np.frombuffer(r["raw"]) for r in rows]))
     sums = classes.select("n", "raw").mapInArrow(_brute(queries, threshold), "query long, links long").groupBy("query").agg(F.sum("links").alias("links"))
     true = {r["query"]: r["links"] for r in sums.collect()}
-    # A vector links with its own class too.
-    wanted = sum(max(0, true[i] - r["n"]) for i, r in enumerate(rows))
-    return sum(r["found"] or 0 for r in rows) / wanted if wanted else 1.0
+    # A vector links with its own class too; each stands for the vectors of its stratum.
+    shares: dict[bool, list[tuple[Fraction, Fraction]]] = {True: [], False: []}
+    drawn_of = {lone: sum(r["lone"] == lone for r in rows) for lone in (True, False)}
+    for i, r in enumerate(rows):
+        if (wanted := true[i] - r["n"]) > 0:
+            shares[wanted <= SMALL].append((Fraction(r["found"] or 0, wanted), Fraction(sizes[r["lone"]], drawn_of[r["lone"]])))
+    return float(min((sum(x * w for x, w in part) / sum(w for _, w in part) for part in shares.values() if part), default=1))
+
+
+def _strangers(threshold: float):
+    """Links between vectors of different components that stand beside each other in one order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, own, rows = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = _matrix(batch["v"], np.float32)
+            ids, own = np.concatenate([ids, batch["cid"].to_numpy()]), np.concatenate([own, batch["component"].to_numpy()])
+            rows = new if rows is None else np.concatenate([rows, new])
+            pairs, lo = [], 0
+            while lo < len(ids) and (lo == 0 or lo + WINDOW // 2 < len(ids)):
+                at, to = slice(lo, lo + WINDOW), own[lo : lo + WINDOW]
+                hit = (rows[at] @ rows[at].T >= threshold - ROUNDING) & (to[:, None] < to[None, :])
+                pairs += [np.stack([ids[at][i], ids[at][j]]) for i, j in [np.nonzero(hit)]]
+                lo += WINDOW // 2
+            keep = max(0, len(ids) - WINDOW)
+            ids, own, rows = ids[keep:], own[keep:], rows[keep:]
+            a, b = np.concatenate(pairs, axis=1) if pairs else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def _joined(compared: DataFrame) -> DataFrame:
+    """(node, component) of the vectors that link."""
+    return materialize(components(compared.select(F.col("cid").alias("a"), F.col("root").alias("b"))), "labels")
+
+
+def _between_clumps(coded: DataFrame, lists: DataFrame, labels: DataFrame, threshold: float, longest: int) -> DataFrame | None:
+    """Links between clumps whose members' lists are full of their own kind, or None. A vector with room
+    on its list has seen what is near; two that have none can miss each other. Of each such clump a
+    few members, others in every order, meet those of other clumps: a clump counts as one neighbour."""
+    full = lists.groupBy("src").agg(F.count(F.lit(1)).alias("m"), F.min("sim").alias("worst")).filter((F.col("m") >= longest) & (F.col("worst") >= threshold - ROUNDING))
+    clumps = full.join(labels, full["src"] == labels["node"]).select("component").distinct()
+    members = labels.join(clumps, "component").select(F.col("node").alias("cid"), "component")
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    members = materialize(members.join(sizes, "component"), "clumps")
+    if members.select("component").distinct().limit(2).count() < 2:
+        return None
+    scouts = coded.join(members, "cid")
+    found = None
+    for i in range(ORDERS):
+        drawn = F.pmod(F.xxhash64("cid", F.lit(i)), F.ceil(F.col("size") / SCOUTS)) == 0
+        part = scouts.filter(drawn).select("cid", "component", "v", F.get("codes", F.lit(i)).alias("code"))
+        part = part.repartitionByRange("code", "cid").sortWithinPartitions("code", "cid").select("cid", "component", "v")
+        part = part.mapInArrow(_strangers(threshold), "a long, b long")
+        found = part if found is None else found.union(part)
+    return materialize(found.distinct(), "between-clumps")
+
+
+def _against(ids: np.ndarray, own: np.ndarray, queries: np.ndarray, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            mine = batch["component"].to_numpy()
+            row, other = np.nonzero((units(_matrix(batch["raw"])) @ queries.T >= threshold) & (mine[:, None] != own[None, :]))
+            _, one = np.unique(np.stack([row, own[other]]), axis=1, return_index=True)  # one link into each component
+            yield pa.RecordBatch.from_arrays([pa.array(batch["cid"].to_numpy()[row[one]]), pa.array(ids[other[one]])], names=["a", "b"])
+
+    return run
+
+
+def _exhaustive(classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """Every link between components, by comparing all vectors with all, ``CHUNK`` of them at a time. The
+    way out where lists fail: its work grows with the square of the table."""
+    every = classes.select("cid", "raw").join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    every = materialize(every, "labelled")
+    chunks, found = -(-every.count() // CHUNK), None
+    for c in range(chunks):
+        rows = every.filter(F.pmod(F.xxhash64("cid"), F.lit(chunks)) == c).collect()
+        if rows:
+            ids, own = (np.array([r[x] for r in rows], np.int64) for x in ("cid", "component"))
+            queries = units(np.array([np.frombuffer(r["raw"]) for r in rows]))
+            part = materialize(every.mapInArrow(_against(ids, own, queries, threshold), "a long, b long"), "against")
+            found = part if found is None else found.union(part)
+    return found
 
 
 def near_vectors(
@@ -238,10 +331,13 @@ def near_vectors(
     an empty result.
 
     Equal vectors are one class. First lists come from neighbours in a few sorted orders of random
-    hyperplane signs, then ``rounds`` of NN-descent better them. What links at all then shares a
-    component, and inside components every two blocks are compared in full, so that lists never cut
-    links off. An audit against all vectors measures recall; below ``recall`` the search is done
-    again from other hyperplanes, up to ``tries`` times, keeping all lists found so far.
+    hyperplane signs, then ``rounds`` of NN-descent better them; a list that is full of links grows. What
+    links at all then shares a component, and inside components every two blocks are compared in
+    full. Clumps whose members' grown lists are still full of their own kind look for each other by a
+    few members each, until no two of them link. An audit against all vectors measures recall per
+    vector, small and large groups apart; below ``recall`` the search is done again from other
+    hyperplanes, up to ``tries`` times, keeping all lists found so far, and if that fails too
+    all components are compared with all, block by block.
     """
     rows = vectors.select(F.col(vec_id).alias("id"), F.col(embedding).cast("array<double>").alias("v"))
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 0
@@ -249,7 +345,7 @@ def near_vectors(
     rows = materialize(rows.mapInArrow(_raw(max(1, dims)), f"id {kind}, raw binary"), "raw")
     classes = rows.filter("raw IS NOT NULL").groupBy("raw").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    lists = None
+    lists, longest, done = None, K * 2**rounds, False
     for attempt in range(tries):
         coded = classes.select("cid", "raw").mapInArrow(_codes(attempt), "cid long, v binary, codes array<long>")
         coded = materialize(coded, "codes")
@@ -259,14 +355,21 @@ def near_vectors(
             part = coded.select("cid", "v", code.alias("code")).repartitionByRange("code", "cid").sortWithinPartitions("code", "cid")
             part = part.select("cid", "v").mapInArrow(_windows, LISTS)
             found = part if found is None else found.union(part)
-        lists = materialize(_top(found if lists is None else found.union(lists), threshold, 1), "lists")
+        grown = 1 if lists is None else 2**rounds
+        lists = materialize(_top(found if lists is None else found.union(lists), threshold, grown), "lists")
         for step in range(rounds):
-            lists = _descend(coded.select("cid", "v"), lists, threshold, 2 ** (step + 1))
+            lists = _descend(coded.select("cid", "v"), lists, threshold, max(grown, 2 ** (step + 1)))
         near = lists.filter(F.col("sim") >= threshold - ROUNDING).select(F.col("src").alias("a"), F.col("dst").alias("b"))
         compared = _links(classes, materialize(components(near), "candidates"), threshold)
-        if audit(classes, compared, threshold) >= recall:
+        while (more := _between_clumps(coded, lists, _joined(compared), threshold, longest)) is not None and more.limit(1).count():
+            near = near.union(more)
+            compared = _links(classes, materialize(components(near), "candidates"), threshold)
+        if done := audit(classes, compared, threshold) >= recall:
             break
-    labels = materialize(components(compared.select(F.col("cid").alias("a"), F.col("root").alias("b"))), "labels")
+    if not done:
+        near = near.union(_exhaustive(classes, _joined(compared), threshold))
+        compared = _links(classes, materialize(components(near), "candidates"), threshold)
+    labels = _joined(compared)
     counted = compared.groupBy("cid").agg(F.sum("links").alias("links"))
     named = classes.select("cid", "raw", "least", "n").join(labels.withColumnRenamed("node", "cid"), "cid", "left").join(counted, "cid", "left")
     named = materialize(named.withColumn("component", F.coalesce("component", "cid")), "named")

@@ -78,3 +78,42 @@ def test_the_audit_sees_lost_links(spark):
     classes = spark.createDataFrame([(i, bytearray(r), n) for i, r, n in raw], "cid long, raw binary, n long")
     found = spark.createDataFrame([(i, 4) for i in range(10)], "cid long, links long")
     assert N.audit(classes, found, 0.999) == 40 / 90
+
+
+def clumps(rng, sizes, dims=32, inside=0.999, across=0.96):
+    """Vectors in clumps: cosine about ``inside`` within one, about ``across`` between any two."""
+    centre = np.zeros(dims)
+    centre[0] = 1.0
+    rows = []
+    for k, size in enumerate(sizes):
+        middle = centre * np.sqrt(across) + np.eye(dims)[1 + k] * np.sqrt(1 - across)
+        for _ in range(size):
+            noise = rng.standard_normal(dims)
+            noise -= middle * (noise @ middle)
+            rows.append(middle + noise / np.linalg.norm(noise) * np.sqrt(1 / inside - 1))
+    return rows
+
+
+def test_clumps_longer_than_lists_find_each_other(spark):
+    rng = np.random.default_rng(5)
+    for sizes in ((60, 60), (300, 280, 90)):
+        rows = list(enumerate([v.tolist() for v in clumps(rng, sizes)] + rng.standard_normal((80, 32)).tolist()))
+        want = brute(rows)
+        assert len({r[2] for r in want[: sum(sizes)]}) == 1 or max(r[1] for r in want) > max(sizes)
+        assert result(N.near_vectors(vectors(spark, rows))) == want
+
+
+def test_a_failed_audit_ends_in_a_full_comparison(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = list(enumerate([v.tolist() for v in clumps(rng, (40, 45))] + rng.standard_normal((60, 32)).tolist()))
+    monkeypatch.setattr(N, "audit", lambda *a, **k: 0.0)
+    monkeypatch.setattr(N, "_between_clumps", lambda *a, **k: None)
+    monkeypatch.setattr(N, "CHUNK", 50)
+    assert result(N.near_vectors(vectors(spark, rows), tries=1)) == brute(rows)
+
+
+def test_a_large_group_hides_no_small_one(spark):
+    raw = [(i, np.ones(4).tobytes(), 1) for i in range(60)] + [(60 + i, (np.eye(4)[i // 2] * (1 + i % 2)).tobytes(), 1) for i in range(8)]
+    classes = spark.createDataFrame([(i, bytearray(r), n) for i, r, n in raw], "cid long, raw binary, n long")
+    found = spark.createDataFrame([(i, 59) for i in range(60)], "cid long, links long")
+    assert N.audit(classes, found, 0.999) == 0.0
