@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,22 @@ def test_the_filter_keeps_columns_and_clean_rows(spark, learned):
     out = T.drop_toxic(docs, learned)
     scores = T.score_texts(docs, learned).filter("score < 0.5")
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in scores.collect()}
+
+
+def test_matches_are_those_of_a_search_at_every_place():
+    rng = random.Random(12)
+    scorer = T.Scorer({" ab": 3.5, " abba ": 4.0, " caab ": 5.0, " bac": 3.1, " cé ": 6.0}, ("abba cab", "bac b"), (0.0, 0.0, 0.0))
+    automaton = scorer.automaton()
+    for _ in range(1500):
+        text = " ".join("".join(rng.choice("aàbBcé4") for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(0, 14)))
+        folded, best, spared = T.fold(text), {}, set()
+        for form in {folded, T.fold(text, T.ACCENTED)}:
+            for i in range(len(form)):
+                for pattern, weight in scorer.weights.items():
+                    if form.startswith(pattern, i):
+                        best[i] = max(best.get(i, 0.0), weight)
+                for phrase in scorer.exceptions:
+                    if form.startswith(T.fold(phrase), i):
+                        spared |= set(range(i, i + len(T.fold(phrase)) - 1))
+        total = sum(w for i, w in best.items() if i not in spared)
+        assert T.measure(text, automaton) == pytest.approx((np.log1p(total), np.log1p(100 * total / max(1, len(folded.split())))))
