@@ -1,6 +1,7 @@
 import corpus_pipeline as C
 from civicspark.session import materialize
 
+from .conftest import documents
 from .test_line_dedup import brute as lines_kept
 from .test_minhash import brute as groups
 
@@ -37,3 +38,16 @@ def test_the_run_is_the_stages(spark, sf):
     out = C.run(spark, sf)
     assert out.columns == ["doc_id", "lang", "source", "n_ids", "ids", "restored"] and out.count() > 100
     assert C.ORACLE_SQL is None
+
+
+def test_odd_rows_pass_all_stages(spark, empty, tmp_path):
+    docs = [(i, f"own{i} " * 30 + f"and {i * 7919} other words {i}", "ab"[i % 2]) for i in range(20)]
+    docs += [(50, None), (51, ""), (52, " \n\t"), (None, "no id here"), (53, "long " * 60_000), (54, "twice"), (54, "twice"), (55, "of source null", None)]
+    tables = {"odd": (documents(spark, docs), [(1, 1), *((i, 0) for i in range(2, 16)), (None, 1), (3, None)]), "empty": (empty, [])}
+    for name, (rows, labels) in tables.items():
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, toxic int").coalesce(1).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    out = C.run(spark, f"{tmp_path}/odd").collect()
+    assert out and all(r["restored"] for r in out)
+    assert {r["doc_id"] for r in out} <= {d[0] for d in docs} and all(r["n_ids"] == len(r["ids"]) for r in out)
+    assert C.run(spark, f"{tmp_path}/empty").collect() == []
