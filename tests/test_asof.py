@@ -152,3 +152,14 @@ def test_the_last_value_in_a_burst(spark, monkeypatch):
     for rows in (asof.SLICE_ROWS, 8):
         monkeypatch.setattr(asof, "SLICE_ROWS", rows)
         assert {r["id"]: r["last"] for r in asof.last_before(q, e, **ask).collect()} == want
+
+
+def test_sides_that_grow_with_the_rows_are_not_broadcast(spark):
+    df = spark.createDataFrame(events(30, 3), "id long, k string, t timestamp, v double")
+    spans = (Span("w", 7),)
+    many = range_agg_many(df, "t", [Ask(Events(df, "t", "v"), ("k",), spans), Ask(Events(df, "t"), ("k",), spans)])
+    last = last_before(df, df, keys=["k"], row_time="t", event_time="t", value="v", name="newest")
+    for out in (many, last):
+        plan = out._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert out.count() == df.count()
