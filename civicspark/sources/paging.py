@@ -48,7 +48,10 @@ class FolderFeed:
         if held is None or held[0] != upto or (held[1] is not None and (after is None or after < held[1])):
             low = pc.field(self.key) <= upto
             low = low if after is None else low & (pc.field(self.key) >= after)
-            rows = ds.dataset(self.path, format="parquet").to_table(columns=list(self.columns), filter=low)
+            # few batches read ahead, so that a worker holds little beside the rows of its range
+            rows = ds.dataset(self.path, format="parquet").to_table(
+                columns=list(self.columns), filter=low, batch_size=1 << 16, batch_readahead=2, fragment_readahead=1
+            )
             held = self._held = (upto, after, rows.sort_by([(c, "ascending") for c in (self.key, *(c for c in self.columns if c != self.key))]))
         rows = held[2]
         start = 0 if after is None else pc.sum(pc.less(rows[self.key], after)).as_py() or 0

@@ -1,5 +1,7 @@
 """Tables of a row per request are joined by shuffles, however small their files look."""
 
+from pyspark.sql import functions as F
+
 from civicspark.testbed import adapter, queries
 
 
@@ -30,3 +32,17 @@ def test_feature_rows_get_their_times_without_a_broadcast(spark, monkeypatch):
     monkeypatch.setattr(queries, "featured", lambda *_: rows.select("service_request_id"))
     out = queries.filed(spark, "")
     assert out.count() == 1 and not broadcasts(out, "service_request_id")
+
+
+def test_a_larger_feed_has_more_ranges_not_larger_ones(spark, tmp_path, monkeypatch):
+    rows = [(k * 7919 % 1000 // 3, k, float(k)) for k in range(1000)]
+    spark.createDataFrame(rows, queries.LINES).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, pull = [], queries.paging.pull
+    monkeypatch.setattr(queries, "RANGE_ROWS", 20)
+    monkeypatch.setattr(queries.paging, "pull", lambda spark, feed, *a, **kw: seen.append((feed, kw)) or pull(spark, feed, *a, **kw))
+    out = queries.paged_pull(spark, str(tmp_path))
+    assert sorted(map(tuple, out.collect())) == sorted(rows)
+    feed, how = seen[0]
+    assert how["rows_per_range"] == 20
+    files = spark.read.parquet(feed.path).groupBy(F.input_file_name()).agg(F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high")).orderBy("low").collect()
+    assert len(files) > 20 and all(a["high"] < b["low"] for a, b in zip(files, files[1:]))
