@@ -46,3 +46,8 @@ def test_a_larger_feed_has_more_ranges_not_larger_ones(spark, tmp_path, monkeypa
     assert how["rows_per_range"] == 20
     files = spark.read.parquet(feed.path).groupBy(F.input_file_name()).agg(F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high")).orderBy("low").collect()
     assert len(files) > 20 and all(a["high"] < b["low"] for a, b in zip(files, files[1:]))
+
+
+def test_shuffles_of_large_tables_are_cut_small(spark):
+    queries.adapter.prepare(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
