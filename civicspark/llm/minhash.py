@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from civicspark.llm.columns import fresh, whole
 from civicspark.llm.graph import components
 from civicspark.llm.words import groups, hash_words, mix, shingles, slices, text_bytes
-from civicspark.session import materialize
+from civicspark.session import arrow_rows, materialize
 
 #: 32 bands of 5 minima: two sets of similarity 0.8 share no band once in 300,000 times.
 BANDS, ROWS = 32, 5
@@ -28,6 +28,9 @@ HUBS = 3
 BLOCK = 1 << 18
 #: Shingles hashed in one go.
 CHUNK = 1 << 16
+#: Rows that pass to Python at a time, and bytes of text whose words are looked at in one go; the
+#: arrays beside them take some twenty times as much.
+BATCH, TEXT = 1000, 1 << 20
 
 _RNG = np.random.default_rng(96)
 _XOR = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -64,7 +67,7 @@ def _list(values: np.ndarray) -> pa.Array:
 
 def _features(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", TEXT)):
             for begin, values, starts, blank in _sets(batch["text"], width):
                 k = len(starts) - 1
                 minima = np.empty((k, BANDS * ROWS), np.uint64)
@@ -87,7 +90,7 @@ def _features(width: int):
 
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", TEXT)):
             for _, values, starts, _ in _sets(batch["text"], width):
                 k1, k2 = _digests(values, starts)
                 members = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values.view(np.int64)))
@@ -120,7 +123,8 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int)
     found = docs.join(ids, F.col("id").eqNullSafe(F.col("least")), "left_semi")
     sets = found.select("text").mapInArrow(_full_sets(width), "k1 long, k2 long, members array<long>")
     sets = sets.join(wanted.select("cid", "k1", "k2"), ["k1", "k2"]).select("cid", "members")
-    return materialize(sets.dropDuplicates(["cid"]), "sets")
+    with arrow_rows(docs.sparkSession, BATCH):
+        return materialize(sets.dropDuplicates(["cid"]), "sets")
 
 
 def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -187,7 +191,8 @@ def _compared(rows: DataFrame, percent: int) -> DataFrame:
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     own = own.select("cluster", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "cid", "of", "n", "block", "signature", "members")
     own = own.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q")
-    return materialize(own.mapInArrow(_block_links(percent), "a long, b long"), "block_links")
+    with arrow_rows(rows.sparkSession, BATCH):
+        return materialize(own.mapInArrow(_block_links(percent), "a long, b long"), "block_links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,7 +212,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(whole(text)).alias("body"))
     kind = docs.schema["id"].dataType.simpleString()
     features = docs.mapInArrow(_features(width), f"id {kind}, body long, n long, k1 long, k2 long, signature array<long>, bands array<long>")
-    features = materialize(features, "features")
+    with arrow_rows(docs.sparkSession, BATCH):
+        features = materialize(features, "features")
     classes = features.filter("n > 0").groupBy("k1", "k2", "n")
     classes = classes.agg(F.min("id").alias("least"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")

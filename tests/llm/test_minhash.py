@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +97,30 @@ def test_the_estimate_is_corrected_for_chance(spark):
         x, y = set(words(pairs[2 * r["p"]][1])), set(words(pairs[2 * r["p"] + 1][1]))
         errors.append(r["e"] - len(x & y) / len(x | y))
     assert abs(sum(errors) / len(errors)) < 0.03 and max(map(abs, errors)) < M.SLACK
+
+
+def test_the_arrays_beside_a_batch_stay_small():
+    """Words are looked at in runs of about a megabyte of text, whatever the batch."""
+    rng = random.Random(4)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(2_000))
+    n = 600  # some nine megabytes
+    batch = M.pa.RecordBatch.from_arrays([M.pa.array(range(n)), M.pa.array([0] * n), M.pa.array([text] * n)], names=["id", "body", "text"])
+    for run in (M._features(5), M._full_sets(5)):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == n and peak < 40e6, peak
+
+
+def test_rows_pass_to_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield M.pa.RecordBatch.from_arrays([M.pa.array([batch.num_rows])], names=["n"])
+
+    with M.arrow_rows(spark, M.BATCH):
+        rows = M.materialize(spark.range(0, 5_000, 1, 1).mapInArrow(sizes, "n long"), "sizes")
+    assert sorted(r["n"] for r in rows.collect()) == [M.BATCH] * 5 and spark.conf.get(key) == before
