@@ -20,8 +20,11 @@ from civicspark.llm.words import mix, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: What stands for a space in a piece.
 SPACE = "▁"
-#: Segments whose ids a task keeps, some 200 MB, and the longest segment that is kept.
-KEPT, LONGEST = 1 << 20, 48
+#: Segments whose ids a task keeps, some 15 MB, and the longest segment that is kept.
+KEPT, LONGEST = 1 << 16, 48
+#: Bytes of text whose segments are looked at in one go; the arrays and strings beside them take some
+#: fifty times as much.
+TEXT = 1 << 20
 #: A rank behind all others, and one that no pair has; more than there are symbols.
 FAR, NONE, SYMBOLS = 1 << 40, (1 << 31) - 1, 1 << 22
 #: Bits of the slots that pairs of symbols are looked up in.
@@ -340,7 +343,7 @@ class Drawn:
             out += ([part] if part else []) if pieces.whole else pieces.cut.findall(part)
         return out
 
-    def _rows(self, number: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def _rows(self, number: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Kept segments as rows of symbols, those of like length together: which, rows, lengths."""
         starts, symbols = np.array(self.starts, np.int64), np.array(self.symbols, np.int32)
         length = starts[number + 1] - starts[number]
@@ -420,7 +423,7 @@ def _encode(proto, rate: float, seed: int, streams: int):
         pieces = Pieces(proto.value)
         kept = [Kept(pieces, (seed * 0x9E3779B97F4A7C15 + i) & MASK, int(rate * 2**32)) for i in range(streams)]
         drawn = Drawn(pieces, rate)
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", TEXT)):
             texts, dealt = [t or "" for t in batch["text"].to_pylist()], batch["stream"].to_pylist()
             if streams:
                 found = [np.frombuffer(pieces.encode(t, kept[s]), np.int32) for t, s in zip(texts, dealt, strict=True)]

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -136,6 +137,18 @@ def test_batches_and_forgetting_change_nothing(vocabulary, sf_docs, monkeypatch)
     assert [vocabulary.decode(whole[lo:hi].tolist()) for lo, hi in zip(ends, ends[1:])] == texts
 
 
+def test_a_task_looks_at_a_megabyte_of_text_at_a_time(vocabulary, monkeypatch):
+    met, encode = [], P.Drawn.encode
+    monkeypatch.setattr(P.Drawn, "encode", lambda self, texts, keys: met.append(sum(map(len, texts))) or encode(self, texts, keys))
+    text = "a few words of no great weight " * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array([text] * 100), pa.array(range(100))], names=["c0", "text", "stream"])
+    with open(P.MODEL, "rb") as file:
+        proto = type("Sent", (), {"value": file.read()})
+    out = list(P._encode(proto, 0.1, 7, 0)(iter([batch])))
+    assert sum(met) == 100 * len(text) and max(met) <= 1 << 20
+    assert [i for x in out for i in x["c0"].to_pylist()] == list(range(100)) and all(r for x in out for r in x["restored"].to_pylist())
+
+
 def test_the_query_and_the_pipeline_segment_words_anew(spark, tmp_path):
     import corpus_pipeline
 
